@@ -1,0 +1,9 @@
+"""Streaming.
+
+The products are defined on whole tables (weekly sums, DISTINCT over all
+reports, full outer joins), and the workload they come from is a batch job
+over a bundle table; there is no stream, watermark, window or state to
+re-express. Nothing lives here. A caller who lands bundles continuously can
+run any product per micro-batch with ``foreachBatch`` over the table it
+appends to.
+"""
