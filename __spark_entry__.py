@@ -95,6 +95,12 @@ def _events(fn: Callable[[DataFrame], DataFrame], spark: SparkSession, sf_dir: s
     return fn(event_bundles(spark, sf_dir))
 
 
+def _events_rounded(fn: Callable[[DataFrame], DataFrame], name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values are not integers: round the summed measure for comparison."""
+    df = fn(event_bundles(spark, sf_dir))
+    return df.withColumn(name, F.round(name, STD_DIGITS))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: partial(_product, name) for name in PRODUCTS
@@ -111,8 +117,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 _events, partial(symptom_weekly_sum, code=C.DISORIENTATION)
             ),
             "events_vision_reported": partial(_events, partial(symptom_reported, code=C.ABNORMAL_VISION)),
-            "events_score_session_mean": partial(_events, score_session_mean),
-            "events_score_weekly_sum": partial(_events, score_weekly_sum),
+            "events_score_session_mean": partial(_events_rounded, score_session_mean, "Mean_for_session"),
+            "events_score_weekly_sum": partial(_events_rounded, score_weekly_sum, "Sum_of_weekly_score"),
         }
     )
     return out
@@ -151,6 +157,8 @@ def oracle_sql() -> dict[str, str]:
     sql["publish_roundtrip"] = oracle.symptom_weekly_sum(C.DISORIENTATION)
     sql["events_disorientation_weekly_sum"] = oracle.symptom_weekly_sum(C.DISORIENTATION, oracle.EVENT_BASE)
     sql["events_vision_reported"] = oracle.symptom_reported(C.ABNORMAL_VISION, oracle.EVENT_BASE)
-    sql["events_score_session_mean"] = oracle.score([D, E], "avg", "Mean_for_session", oracle.EVENT_BASE)
-    sql["events_score_weekly_sum"] = oracle.score([W, P], "sum", "Sum_of_weekly_score", oracle.EVENT_BASE)
+    sql["events_score_session_mean"] = oracle.score(
+        [D, E], "avg", "Mean_for_session", oracle.EVENT_BASE, STD_DIGITS
+    )
+    sql["events_score_weekly_sum"] = oracle.score([W, P], "sum", "Sum_of_weekly_score", oracle.EVENT_BASE, STD_DIGITS)
     return sql

@@ -7,8 +7,9 @@ definition literally (DISTINCT, GROUP BY, and for the segment products and
 the session report the full-outer-join chains). Equal answers therefore test
 the fixture, the unnesting, the parsing and the plan rewrites together.
 
-Standard deviations are rounded to 6 places on both sides of the comparison:
-floating-point sums in a different order differ in the last bits.
+Standard deviations, and sums/means of non-integer event values, are
+rounded to 6 places on both sides of the comparison: floating-point sums in
+a different order differ in the last bits.
 """
 
 from __future__ import annotations
@@ -123,9 +124,12 @@ _SCORES = (
 )
 
 
-def score(keys: list[str], fn: str, name: str, base: str = SESSION_BASE) -> str:
+def score(keys: list[str], fn: str, name: str, base: str = SESSION_BASE, digits: int | None = None) -> str:
     k = ", ".join(f'"{c}"' if c != E else E for c in keys)
-    return _with(base, _SCORES) + f'\nSELECT {k}, {fn}("Session_score") AS "{name}" FROM sc GROUP BY {k}'
+    agg = f'{fn}("Session_score")'
+    if digits is not None:
+        agg = f"ROUND({agg}, {digits})"
+    return _with(base, _SCORES) + f'\nSELECT {k}, {agg} AS "{name}" FROM sc GROUP BY {k}'
 
 
 def _samples(code: str) -> list[str]:
@@ -240,7 +244,8 @@ def session_report() -> str:
 
 def observation_rows() -> str:
     return _with(SESSION_BASE) + (
-        f'\nSELECT dt AS {C.EFFECTIVE}, \'{C.SESSION}\' AS {C.SESSION_CODE}, {E}, code AS {C.COMPONENT_CODE}, '
+        f'\nSELECT \'Patient/\' || "Patient_id" AS {C.REFERENCE}, '
+        f'dt AS {C.EFFECTIVE}, \'{C.SESSION}\' AS {C.SESSION_CODE}, {E}, code AS {C.COMPONENT_CODE}, '
         f'{T}, flag AS {C.FLAG}, qty AS {C.QUANTITY}, data AS {C.SAMPLES}, '
         f'"Patient_id", "Date", "Week", "Start_time" FROM comp'
     )
