@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from equilibra import codes as C
+from equilibra.sources.bundles import FLAG_FIELDS, QUANTITY_FIELDS, REPORT_FIELDS, SAMPLE_FIELDS, TIMED_FIELDS
 from equilibra.plans.movement import (
     range_max,
     range_mean,
@@ -59,8 +60,25 @@ for _measure, _code in C.MEASURES.items():
         PRODUCTS[f"segment_{_stat.lower()}_{_measure}"] = partial(segment_product, code=_code, stat=_stat)
 PRODUCTS["session_report"] = session_report
 
+
+def _fields(name: str) -> tuple[str, ...]:
+    if name.endswith(("_weekly_sum", "_reported")) and not name.startswith("score"):
+        return FLAG_FIELDS
+    if name.startswith("score"):
+        return QUANTITY_FIELDS
+    if name.startswith(("range", "speed")):
+        return SAMPLE_FIELDS
+    if name.startswith("segment"):
+        return TIMED_FIELDS
+    return REPORT_FIELDS
+
+
+# Nested leaves each product reads: pass to ``load_bundle(..., fields=)``.
+PRODUCT_FIELDS: dict[str, tuple[str, ...]] = {name: _fields(name) for name in PRODUCTS}
+
 __all__ = [
     "PRODUCTS",
+    "PRODUCT_FIELDS",
     "range_max",
     "range_mean",
     "range_min",

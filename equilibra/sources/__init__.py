@@ -1,14 +1,31 @@
 """Sources and sinks: the bundle table, bundle fixtures derived from the
 driver's flat tables, and the result sink."""
 
-from equilibra.sources.bundles import BUNDLE_SCHEMA, load_bundle
+from equilibra.sources.bundles import (
+    BUNDLE_SCHEMA,
+    FLAG_FIELDS,
+    QUANTITY_FIELDS,
+    REPORT_FIELDS,
+    SAMPLE_FIELDS,
+    SESSION_FIELDS,
+    TIMED_FIELDS,
+    load_bundle,
+    prune_schema,
+)
 from equilibra.sources.fixtures import event_bundle, session_bundle
 from equilibra.sources.publish import publish, publish_all, read_published
 
 __all__ = [
     "BUNDLE_SCHEMA",
+    "FLAG_FIELDS",
+    "QUANTITY_FIELDS",
+    "REPORT_FIELDS",
+    "SAMPLE_FIELDS",
+    "SESSION_FIELDS",
+    "TIMED_FIELDS",
     "event_bundle",
     "load_bundle",
+    "prune_schema",
     "publish",
     "publish_all",
     "read_published",

@@ -61,22 +61,84 @@ BUNDLE_SCHEMA = T.StructType(
 )
 
 
+# --- fixed values: nested leaves each kind of product reads -----------------
+SESSION_FIELDS = (
+    "entry.resource.subject.reference",
+    "entry.resource.effectiveDateTime",
+    "entry.resource.code.coding.code",
+    "entry.resource.code.coding.display",
+    "entry.resource.component.code.coding.code",
+    "entry.resource.component.code.text",
+)
+FLAG_FIELDS = SESSION_FIELDS + ("entry.resource.component.valueBoolean",)
+QUANTITY_FIELDS = SESSION_FIELDS + ("entry.resource.component.valueQuantity.value",)
+SAMPLE_FIELDS = SESSION_FIELDS + ("entry.resource.component.valueSampledData.data",)
+TIMED_FIELDS = SAMPLE_FIELDS + ("entry.resource.component.valueSampledData.extension.valueString",)
+REPORT_FIELDS = tuple(dict.fromkeys(FLAG_FIELDS + QUANTITY_FIELDS + SAMPLE_FIELDS))
+
+
+def prune_schema(schema: T.StructType, fields: tuple[str, ...] | list[str]) -> T.StructType:
+    """The part of ``schema`` on the given dotted leaf paths (arrays are
+    crossed transparently). Paths the schema lacks are skipped; the result
+    keeps the schema's own field order and types."""
+    paths = [f.split(".") for f in fields]
+
+    def keep(dtype: T.DataType, tails: list[list[str]]) -> T.DataType | None:
+        if isinstance(dtype, T.ArrayType):
+            inner = keep(dtype.elementType, tails)
+            return None if inner is None else T.ArrayType(inner, dtype.containsNull)
+        if isinstance(dtype, T.MapType) or not isinstance(dtype, T.StructType):
+            return dtype if any(len(t) == 0 for t in tails) else None
+        if any(len(t) == 0 for t in tails):
+            return dtype  # the whole struct was asked for
+        out = []
+        for field in dtype.fields:
+            sub = [t[1:] for t in tails if t[0] == field.name]
+            if sub:
+                kept = keep(field.dataType, sub)
+                if kept is not None:
+                    out.append(T.StructField(field.name, kept, field.nullable, field.metadata))
+        return T.StructType(out) if out else None
+
+    pruned = keep(schema, paths)
+    return pruned if pruned is not None else T.StructType([])
+
+
+def _is_table(spark: SparkSession, name: str) -> bool:
+    if "/" in name or ":" in name:
+        return False
+    try:
+        return spark.catalog.tableExists(name)
+    except Exception:  # not a valid table identifier
+        return False
+
+
 def load_bundle(
     spark: SparkSession,
     source: str,
     *,
     format: str | None = None,
     options: dict[str, str] | None = None,
+    fields: tuple[str, ...] | list[str] | None = None,
 ) -> DataFrame:
     """A catalog table by name, or files at a path in any Spark format.
 
     With ``format`` unset, a name known to the catalog is read as a table and
     anything else as Parquet files. Delta works the same way once its package
     is on the session's classpath (``format="delta"``).
+
+    ``fields`` (e.g. ``FLAG_FIELDS``) reads files with the file schema
+    narrowed to those nested leaves. Spark prunes nested columns of a scan
+    only down to the first array whose elements are read in more than one
+    field, so without this every product would read every component's sample
+    text; with it a columnar source reads just the listed leaf columns.
     """
-    if format is None and spark.catalog.tableExists(source):
+    if format is None and _is_table(spark, source):
         return spark.table(source)
     reader = spark.read.format(format or "parquet")
     if options:
         reader = reader.options(**options)
+    if fields:
+        full = reader.load(source).schema  # file metadata only
+        reader = reader.schema(prune_schema(full, fields))
     return reader.load(source)
