@@ -79,23 +79,36 @@ def _with_solo(df: DataFrame, tag: str) -> DataFrame:
     return df.withColumn(SOLO, solo)
 
 
+def _tag(code_col: Column, codes: list[str]) -> Column:
+    """Small integer per code: keeps aggregation buffers fixed-width (hash
+    aggregation; a string ``max`` would force a sort-based aggregate)."""
+    out = None
+    for i, code in enumerate(codes):
+        out = F.when(code_col == code, F.lit(i)) if out is None else out.when(code_col == code, F.lit(i))
+    return out
+
+
+MOVE_CODES = [C.SPEED_OF_MOVEMENT, C.RANGE_OF_MOVEMENT]
+
+
 def movement_sides(bundles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Speed and range rows, one per (K, text), from one aggregation."""
-    moments = observation_moments(bundles, [C.SPEED_OF_MOVEMENT, C.RANGE_OF_MOVEMENT])
-    code = F.col(C.COMPONENT_CODE)
-    by_text = moments.groupBy(*K, C.TEXT).agg(
-        F.max(F.when(code == C.SPEED_OF_MOVEMENT, True)).alias("_speed"),
-        F.max(F.when(code == C.RANGE_OF_MOVEMENT, True)).alias("_range"),
-        *partial_aggs(F.col(MOMENTS), "_sp", code == C.SPEED_OF_MOVEMENT),
-        *partial_aggs(F.col(MOMENTS), "_rg", code == C.RANGE_OF_MOVEMENT),
-    )
-    speed = by_text.filter(F.col("_speed")).select(
-        *K, min_of("_sp").alias("Min_speed"), max_of("_sp").alias("Max_speed"), mean_of("_sp").alias("Mean_speed")
-    )
-    rng = by_text.filter(F.col("_range")).select(
-        *K, min_of("_rg").alias("Min_range"), max_of("_rg").alias("Max_range"), mean_of("_rg").alias("Mean_range")
-    )
-    return speed, rng
+    """Speed and range rows, one per (K, text), from one aggregation.
+
+    Both sides read the same aggregate functions and select their measure
+    through an aggregate output, so they share one exchange and one scan.
+    """
+    moments = observation_moments(bundles, MOVE_CODES).withColumn("_t", _tag(F.col(C.COMPONENT_CODE), MOVE_CODES))
+    by_text = moments.groupBy(*K, C.TEXT, "_t").agg(F.max("_t").alias("_measure"), *partial_aggs(F.col(MOMENTS), "_a"))
+
+    def side(code: str, label: str) -> DataFrame:
+        return by_text.filter(F.col("_measure") == MOVE_CODES.index(code)).select(
+            *K,
+            min_of("_a").alias(f"Min_{label}"),
+            max_of("_a").alias(f"Max_{label}"),
+            mean_of("_a").alias(f"Mean_{label}"),
+        )
+
+    return side(C.SPEED_OF_MOVEMENT, "speed"), side(C.RANGE_OF_MOVEMENT, "range")
 
 
 def fact_rows(bundles: DataFrame) -> DataFrame:
@@ -104,15 +117,15 @@ def fact_rows(bundles: DataFrame) -> DataFrame:
     Each side's distinct columns are kept and the others nulled: flags by
     (Date, Week, Patient, exercise, flag); score and duration by (Patient,
     exercise, value, Date, Week, Start_time); repetitions by (Patient,
-    exercise, value, Date). ``_code`` is an aggregate output on purpose (see
-    the module docstring).
+    exercise, value, Date). ``_code`` (index into ``FACT_CODES``) is an
+    aggregate output on purpose (see the module docstring).
     """
     obs = observations(bundles, FACT_CODES)
     code = F.col(C.COMPONENT_CODE)
     is_flag = code.isin(list(C.SYMPTOMS))
     timed = code.isin([C.SESSION_SCORE, C.DURATION])
     cols = [
-        code.alias("_c"),
+        _tag(code, FACT_CODES).alias("_c"),
         C.PATIENT,
         C.DISPLAY,
         C.DATE,
@@ -125,8 +138,32 @@ def fact_rows(bundles: DataFrame) -> DataFrame:
     return obs.select(*cols).groupBy(*keys).agg(F.max("_c").alias("_code"))
 
 
-def _side(facts: DataFrame, code: str) -> DataFrame:
-    return facts.filter(F.col("_code") == F.lit(code))
+def _side(facts: DataFrame, *codes: str) -> DataFrame:
+    return facts.filter(F.col("_code").isin([FACT_CODES.index(c) for c in codes]))
+
+
+def flag_side(facts: DataFrame) -> DataFrame:
+    """The four symptom sides as one: per key, each symptom's distinct day
+    flags (at most three: true, false, null) as an array of Yes/No, unnested
+    one after the other, so a key gets the product of the four sets (an
+    empty set counts as one null). A row with a null key part is its own
+    group (discriminator), as it joins nothing."""
+    rows = _side(facts, *C.SYMPTOMS)
+    code = F.col("_code")
+    solo = F.when(
+        _any_null(K),
+        F.concat(F.lit("flag:"), F.xxhash64(*K, code, C.FLAG).cast("string")),
+    )
+    per_key = rows.withColumn(SOLO, solo).groupBy(*K, SOLO).agg(
+        *[
+            F.collect_list(F.when(code == FACT_CODES.index(c), flag_text(C.FLAG))).alias(name)
+            for c, name in C.SYMPTOMS.items()
+        ]
+    )
+    out = per_key
+    for name in C.SYMPTOMS.values():
+        out = out.withColumn(name, F.explode_outer(name))
+    return out
 
 
 def _attach(left: DataFrame, right: DataFrame, payload: list[str]) -> DataFrame:
@@ -134,30 +171,47 @@ def _attach(left: DataFrame, right: DataFrame, payload: list[str]) -> DataFrame:
     keys = K + [SOLO]
     r = right.select(*[F.col(k).alias("_r" + k) for k in keys], *payload)
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_r" + k)) for k in keys])
-    return left.join(r, cond, "left").drop(*["_r" + k for k in keys])
+    # Sides grow with the data (a row per session): sort-merge on the
+    # skeleton's partitioning rather than a broadcast of each side.
+    return left.join(r.hint("merge"), cond, "left").drop(*["_r" + k for k in keys])
 
 
 def session_report(bundles: DataFrame) -> DataFrame:
     speed, rng = movement_sides(bundles)
     facts = fact_rows(bundles)
-
-    flags = [
-        _side(facts, code).select(*K, flag_text(C.FLAG).alias(name)) for code, name in C.SYMPTOMS.items()
-    ]
+    flags = flag_side(facts)
     score = _side(facts, C.SESSION_SCORE).select(*K, C.START, F.col(C.QUANTITY).alias("Session_score"))
     duration = _side(facts, C.DURATION).select(*K, C.START, F.col(C.QUANTITY).alias("Duration"))
     reps = _side(facts, C.REPETITIONS).select(*K, F.col(C.QUANTITY).alias("Total_reps"))
 
-    # Score rows with their durations (equal K and Start_time).
-    d = duration.select(*[F.col(k).alias("_d" + k) for k in K + [C.START]], "Duration")
-    on_time = reduce(lambda a, b: a & b, [F.col(k) == F.col("_d" + k) for k in K + [C.START]])
-    score_dur = score.join(d, on_time, "left").select(*K, C.START, "Session_score", "Duration")
-    lone_dur = duration.join(score, [*K, C.START], "left_anti")
+    # Score rows with their durations (equal K and Start_time) and the
+    # durations no score row matches, from one full outer join.
+    # Null-safe equality plus a per-row discriminator where a key part is
+    # null: same matches as plain equality, but Catalyst infers no
+    # IS NOT NULL filters to push into the shared facts scan (which would
+    # fork it into a second scan).
+    tk = K + [C.START]
+
+    def unmatched(side: str, cols: list[str]) -> Column:
+        return F.when(_any_null(tk), F.concat(F.lit(side), F.xxhash64(*cols).cast("string")))
+
+    d = duration.select(
+        *[F.col(k).alias("_d" + k) for k in tk],
+        "Duration",
+        unmatched("d:", [*tk, "Duration"]).alias("_dx"),
+    )
+    s_ = score.withColumn("_score", F.lit(True)).withColumn("_sx", unmatched("s:", [*tk, "Session_score"]))
+    on_time = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_d" + k)) for k in tk] + [F.col("_sx").eqNullSafe(F.col("_dx"))]
+    )
+    sd = s_.join(d, on_time, "full")
+    score_dur = sd.filter(F.col("_score")).select(*tk, "Session_score", "Duration")
+    lone_dur = sd.filter(F.col("_score").isNull()).select(*[F.col("_d" + k).alias(k) for k in tk], "Duration")
 
     sides = [
         (_with_solo(speed, "speed"), ["Min_speed", "Max_speed", "Mean_speed"]),
         (_with_solo(rng, "range"), ["Min_range", "Max_range", "Mean_range"]),
-        *[(_with_solo(f, name), [name]) for f, name in zip(flags, C.SYMPTOMS.values())],
+        (flags, list(C.SYMPTOMS.values())),
         (_score_side(score_dur), [C.START, "Session_score", "Duration"]),
     ]
     skeleton = reduce(DataFrame.unionByName, [s.select(*K, SOLO) for s, _ in sides]).distinct()
