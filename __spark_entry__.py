@@ -24,7 +24,7 @@ from equilibra import oracle
 from equilibra.operators import flatten_nested, observations, sample_rows, timed_samples
 from equilibra.oracle import STD_DIGITS
 from equilibra.plans import PRODUCTS, SYMPTOM_KEYS
-from equilibra.plans.scores import score_session_mean, score_weekly_sum
+from equilibra.plans.scores import score_session_mean, score_session_sum, score_weekly_mean, score_weekly_sum
 from equilibra.plans.symptoms import symptom_reported, symptom_weekly_sum
 from equilibra.sources import event_bundle, publish, read_published, session_bundle
 
@@ -101,6 +101,14 @@ def _events_rounded(fn: Callable[[DataFrame], DataFrame], name: str, spark: Spar
     return df.withColumn(name, F.round(name, STD_DIGITS))
 
 
+EVENT_SCORES = {
+    "score_session_mean": (score_session_mean, "Mean_for_session"),
+    "score_weekly_mean": (score_weekly_mean, "Mean_of_weekly_score"),
+    "score_session_sum": (score_session_sum, "Sum_of_session"),
+    "score_weekly_sum": (score_weekly_sum, "Sum_of_weekly_score"),
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: partial(_product, name) for name in PRODUCTS
@@ -113,14 +121,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "samples_speed": partial(_samples, C.SPEED_OF_MOVEMENT),
             "samples_timed": _samples_timed,
             "publish_roundtrip": _publish_roundtrip,
-            "events_disorientation_weekly_sum": partial(
-                _events, partial(symptom_weekly_sum, code=C.DISORIENTATION)
-            ),
-            "events_vision_reported": partial(_events, partial(symptom_reported, code=C.ABNORMAL_VISION)),
-            "events_score_session_mean": partial(_events_rounded, score_session_mean, "Mean_for_session"),
-            "events_score_weekly_sum": partial(_events_rounded, score_weekly_sum, "Sum_of_weekly_score"),
         }
     )
+    for name, code in SYMPTOM_KEYS.items():
+        out[f"events_{name}_weekly_sum"] = partial(_events, partial(symptom_weekly_sum, code=code))
+        out[f"events_{name}_reported"] = partial(_events, partial(symptom_reported, code=code))
+    for key, (fn, col) in EVENT_SCORES.items():
+        out[f"events_{key}"] = partial(_events_rounded, fn, col)
     return out
 
 
@@ -155,10 +162,12 @@ def oracle_sql() -> dict[str, str]:
     sql["samples_speed"] = oracle.sample_rows(spd)
     sql["samples_timed"] = oracle.timed_samples(rng)
     sql["publish_roundtrip"] = oracle.symptom_weekly_sum(C.DISORIENTATION)
-    sql["events_disorientation_weekly_sum"] = oracle.symptom_weekly_sum(C.DISORIENTATION, oracle.EVENT_BASE)
-    sql["events_vision_reported"] = oracle.symptom_reported(C.ABNORMAL_VISION, oracle.EVENT_BASE)
-    sql["events_score_session_mean"] = oracle.score(
-        [D, E], "avg", "Mean_for_session", oracle.EVENT_BASE, STD_DIGITS
-    )
-    sql["events_score_weekly_sum"] = oracle.score([W, P], "sum", "Sum_of_weekly_score", oracle.EVENT_BASE, STD_DIGITS)
+    ev = oracle.EVENT_BASE
+    for name, code in SYMPTOM_KEYS.items():
+        sql[f"events_{name}_weekly_sum"] = oracle.symptom_weekly_sum(code, ev)
+        sql[f"events_{name}_reported"] = oracle.symptom_reported(code, ev)
+    sql["events_score_session_mean"] = oracle.score([D, E], "avg", "Mean_for_session", ev, STD_DIGITS)
+    sql["events_score_weekly_mean"] = oracle.score([W, D, P, E], "avg", "Mean_of_weekly_score", ev, STD_DIGITS)
+    sql["events_score_session_sum"] = oracle.score([D, W, P], "sum", "Sum_of_session", ev, STD_DIGITS)
+    sql["events_score_weekly_sum"] = oracle.score([W, P], "sum", "Sum_of_weekly_score", ev, STD_DIGITS)
     return sql
