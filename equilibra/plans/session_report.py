@@ -29,8 +29,10 @@ Plan, instead of 12 re-shuffling full joins:
 * Rows with a null key part get a discriminator (side tag + hash of the row)
   as an extra join key, so they pair with nothing but their own side and are
   spread over tasks rather than collected in one.
-* Durations that match no score row stand alone (left anti join); the
-  repetitions are the one full outer join, on K.
+* Durations that match no score row stand alone; the repetitions are the
+  one full outer join, on K.
+* The score side, whose rows per key grow with sessions per day, is attached
+  last as inner join + anti join so AQE's skew handling can split a hot key.
 """
 
 from __future__ import annotations
@@ -176,6 +178,25 @@ def _attach(left: DataFrame, right: DataFrame, payload: list[str]) -> DataFrame:
     return left.join(r.hint("merge"), cond, "left").drop(*["_r" + k for k in keys])
 
 
+def _attach_splittable(left: DataFrame, right: DataFrame, payload: list[str]) -> DataFrame:
+    """``_attach`` for a side whose rows per key grow with the data (score
+    rows: one per session of the day). Written as inner join + anti join (the
+    same rows as the left outer join): AQE can split a skewed partition of
+    either side of an inner join across tasks, but never the right side of a
+    left outer join, so a hot key's product is shared out instead of
+    produced by one task."""
+    keys = K + [SOLO]
+    r = right.select(*[F.col(k).alias("_r" + k) for k in keys], *payload)
+    # One struct key (null parts compare equal, as with per-column <=>): the
+    # left side's current partitioning does not match it, so the join gets
+    # its own exchange on both sides, which AQE's skew handling needs.
+    cond = F.struct(*keys).eqNullSafe(F.struct(*[F.col("_r" + k) for k in keys]))
+    matched = left.join(r, cond, "inner").drop(*["_r" + k for k in keys])
+    alone = left.join(r, cond, "left_anti")
+    alone = alone.select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in payload])
+    return matched.unionByName(alone)
+
+
 def session_report(bundles: DataFrame) -> DataFrame:
     speed, rng = movement_sides(bundles)
     facts = fact_rows(bundles)
@@ -208,14 +229,17 @@ def session_report(bundles: DataFrame) -> DataFrame:
     score_dur = sd.filter(F.col("_score")).select(*tk, "Session_score", "Duration")
     lone_dur = sd.filter(F.col("_score").isNull()).select(*[F.col("_d" + k).alias(k) for k in tk], "Duration")
 
+    sessions = _score_side(score_dur)
     sides = [
         (_with_solo(speed, "speed"), ["Min_speed", "Max_speed", "Mean_speed"]),
         (_with_solo(rng, "range"), ["Min_range", "Max_range", "Mean_range"]),
         (flags, list(C.SYMPTOMS.values())),
-        (_score_side(score_dur), [C.START, "Session_score", "Duration"]),
     ]
-    skeleton = reduce(DataFrame.unionByName, [s.select(*K, SOLO) for s, _ in sides]).distinct()
+    skeleton = reduce(
+        DataFrame.unionByName, [s.select(*K, SOLO) for s, _ in sides] + [sessions.select(*K, SOLO)]
+    ).distinct()
     main = reduce(lambda acc, s: _attach(acc, s[0], s[1]), sides, skeleton)
+    main = _attach_splittable(main, sessions, [C.START, "Session_score", "Duration"])
 
     left_cols = [c for c in COLUMNS if c != "Total_reps"]
     main = main.select(*left_cols)
