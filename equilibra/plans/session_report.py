@@ -146,26 +146,36 @@ def _side(facts: DataFrame, *codes: str) -> DataFrame:
 
 def flag_side(facts: DataFrame) -> DataFrame:
     """The four symptom sides as one: per key, each symptom's distinct day
-    flags (at most three: true, false, null) as an array of Yes/No, unnested
+    flags (at most three: true, false, null) become Yes/No values, unnested
     one after the other, so a key gets the product of the four sets (an
-    empty set counts as one null). A row with a null key part is its own
-    group (discriminator), as it joins nothing."""
+    empty set counts as one null). The sets are kept as presence bits, so
+    the aggregation has fixed-width buffers. A row with a null key part is
+    its own group (discriminator), as it joins nothing."""
     rows = _side(facts, *C.SYMPTOMS)
     code = F.col("_code")
+    flag = F.col(C.FLAG)
     solo = F.when(
         _any_null(K),
-        F.concat(F.lit("flag:"), F.xxhash64(*K, code, C.FLAG).cast("string")),
+        F.concat(F.lit("flag:"), F.xxhash64(*K, code, flag).cast("string")),
     )
-    per_key = rows.withColumn(SOLO, solo).groupBy(*K, SOLO).agg(
-        *[
-            F.collect_list(F.when(code == FACT_CODES.index(c), flag_text(C.FLAG))).alias(name)
-            for c, name in C.SYMPTOMS.items()
+    bits = []
+    for c, name in C.SYMPTOMS.items():
+        mine = code == FACT_CODES.index(c)
+        bits += [
+            F.max(mine & flag).alias(f"_{name}_t"),
+            F.max(mine & ~flag).alias(f"_{name}_f"),
+            F.max(mine & flag.isNull()).alias(f"_{name}_n"),
         ]
-    )
+    per_key = rows.withColumn(SOLO, solo).groupBy(*K, SOLO).agg(*bits)
     out = per_key
     for name in C.SYMPTOMS.values():
-        out = out.withColumn(name, F.explode_outer(name))
-    return out
+        values = F.array(
+            F.when(F.col(f"_{name}_t"), F.lit("Yes")),
+            F.when(F.col(f"_{name}_f"), F.lit("No")),
+            F.when(F.col(f"_{name}_n"), F.lit("No")),
+        )
+        out = out.withColumn(name, F.explode_outer(F.filter(values, lambda v: v.isNotNull())))
+    return out.drop(*[f"_{n}_{b}" for n in C.SYMPTOMS.values() for b in "tfn"])
 
 
 def _attach(left: DataFrame, right: DataFrame, payload: list[str]) -> DataFrame:
