@@ -131,12 +131,12 @@ def fact_rows(bundles: DataFrame) -> DataFrame:
         C.PATIENT,
         C.DISPLAY,
         C.DATE,
-        C.WEEK,
         F.when(timed, F.col(C.START)).alias(C.START),
         F.when(is_flag, F.col(C.FLAG)).alias(C.FLAG),
         F.when(~is_flag, F.col(C.QUANTITY)).alias(C.QUANTITY),
     ]
-    keys = ["_c", C.PATIENT, C.DISPLAY, C.DATE, C.WEEK, C.START, C.FLAG, C.QUANTITY]
+    # Week is left out: it is a function of Date and the report drops it.
+    keys = ["_c", C.PATIENT, C.DISPLAY, C.DATE, C.START, C.FLAG, C.QUANTITY]
     return obs.select(*cols).groupBy(*keys).agg(F.max("_c").alias("_code"))
 
 
