@@ -13,6 +13,7 @@ that summation order does not decide equality.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from functools import partial
 
@@ -109,6 +110,38 @@ EVENT_SCORES = {
 }
 
 
+def _has(module: str) -> bool:
+    """Whether a module that may have been taken away is there."""
+    return importlib.util.find_spec(module) is not None
+
+
+def _optional_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    if _has("equilibra.llm"):
+        from equilibra.llm import queries as llm
+
+        out.update(llm.queries())
+        if _has("corpus_pipeline"):
+            import corpus_pipeline
+
+            out["pipeline"] = corpus_pipeline.run
+    return out
+
+
+def _optional_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    if _has("equilibra.llm"):
+        from equilibra.llm import queries as llm
+
+        out.update(llm.oracle_sql())
+        if _has("corpus_pipeline"):
+            import corpus_pipeline
+
+            if corpus_pipeline.ORACLE_SQL:
+                out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: partial(_product, name) for name in PRODUCTS
@@ -128,6 +161,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[f"events_{name}_reported"] = partial(_events, partial(symptom_reported, code=code))
     for key, (fn, col) in EVENT_SCORES.items():
         out[f"events_{key}"] = partial(_events_rounded, fn, col)
+    out.update(_optional_queries())
     return out
 
 
@@ -170,4 +204,5 @@ def oracle_sql() -> dict[str, str]:
     sql["events_score_weekly_mean"] = oracle.score([W, D, P, E], "avg", "Mean_of_weekly_score", ev, STD_DIGITS)
     sql["events_score_session_sum"] = oracle.score([D, W, P], "sum", "Sum_of_session", ev, STD_DIGITS)
     sql["events_score_weekly_sum"] = oracle.score([W, P], "sum", "Sum_of_weekly_score", ev, STD_DIGITS)
+    sql.update(_optional_sql())
     return sql

@@ -34,14 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     On a cluster this setting names storage every executor can reach; it is
-    read, never replaced. Only where it is unset (local tests) is a folder of
-    our own created and registered.
+    read, never replaced, and required: without it this raises. Only in a
+    ``local`` session, where driver and executors are one process on one machine,
+    is a folder of our own created and registered.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="equilibra-")
         spark.conf.set(CHECKPOINT_CONF, path)
         spark.sparkContext.setCheckpointDir(path)
