@@ -2,83 +2,175 @@
 
 Both tokenizers used here cut a text into words before they apply byte-pair
 merges, and no word reaches over a space or line feed that stands between two
-characters other than white space. So a text is cut there, and the library is asked once
-for each different piece; the ids of a text are the ids of its pieces joined.
-Nor does a word reach over the border from a letter or digit to a trailing run
-of symbols other than the apostrophe, so ``word,`` is ``word`` and ``,``.
-A text with any other white space (runs, tabs, at either end) goes to the
-library whole. ``tests/llm`` holds the result against plain whole-text calls.
+characters other than white space. So a text is cut there, and the library is
+asked once for each different piece; the ids of a text are the ids of its pieces
+joined. Nor does a word reach over the border from a letter or digit to a
+trailing run of symbols other than the apostrophe, so ``word,`` is ``word`` and
+``,``. New pieces of letters alone go to the library many at a time, as one text;
+its ids are cut where the vocabulary marks a word's start or end. A text with
+any other white space (runs, tabs, at either end) goes to the library whole, if
+spaces count. ``tests/llm`` holds the result against plain whole-text calls.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
 END_ID = 2
 ID = np.dtype("<u4")
-TAIL = re.compile(r"(.*[^\W_])([.,!?;:*$%&#|]+)", re.DOTALL)
+#: Symbols that neither tokenizer joins to letters or digits before them.
+TAILS = ".,!?;:*$%&#|"
 
 
 class Pieces(dict):
-    """Cache: piece of text -> its ids as little-endian unsigned 32-bit bytes."""
+    """Cache: piece of text -> its ids as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, encode, prefix: str, room: int, longest: int = 64):
+    ``mark`` tells for each id whether a word of letters starts (or, without
+    ``prefix``, ends) with it. Pieces of over ``longest`` characters aren't kept.
+    At ``room`` entries the cache starts anew, taking over what is asked for again.
+    """
+
+    def __init__(self, tokenizer, prefix: str, mark: np.ndarray, room: int, longest: int = 64):
         super().__init__()
-        self.tails = Pieces(encode, "", 10_000) if room > 10_000 else self
-        self.encode, self.prefix, self.room, self.longest = encode, prefix, room, longest
+        self.tokenizer, self.prefix, self.mark, self.room, self.longest = tokenizer, prefix, mark, room, longest
+        self.tails: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if tail := TAIL.fullmatch(piece):
-            return self[tail[1]] + self.tails[tail[2]]
-        ids = self.encode(self.prefix + piece)
-        if len(piece) <= self.longest:
-            if len(self) >= self.room:
-                self.clear()
-            self[piece] = ids
-        return ids
+        return self.whole(self.prefix + piece)
+
+    def tail(self, symbols: str) -> bytes:
+        if symbols not in self.tails:
+            if len(self.tails) >= 10_000:
+                self.tails.clear()
+            self.tails[symbols] = self.whole(symbols)
+        return self.tails[symbols]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Take in what of ``pieces`` is new."""
+        if len(self) >= self.room // 2:
+            self.before = dict(self)
+            self.clear()
+        words, ended, longest = set(), [], self.longest
+        for p in pieces.difference(self):
+            if len(p) > longest:
+                continue
+            if p in self.before:
+                self[p] = self.before[p]
+            elif p.isalpha():
+                words.add(p)
+            elif (word := p.rstrip(TAILS)) and word[-1].isalnum() and word is not p:
+                ended.append((p, word))
+                if word not in self:
+                    if word in self.before:
+                        self[word] = self.before[word]
+                    elif word.isalpha():
+                        words.add(word)
+            else:
+                self[p] = self.whole(self.prefix + p)
+        self._words(list(words))
+        for p, word in ended:
+            self[p] = self[word] + self.tail(p[len(word) :])
+
+    def _words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4000):
+            some = words[at : at + 4000]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, ID)
+            cuts = np.flatnonzero(self.mark[ids])
+            if len(cuts) != len(some):
+                self.update((w, self.whole(self.prefix + w)) for w in some)
+                continue
+            ends = [*(4 * cuts[1:]).tolist(), 4 * len(ids)] if self.prefix else (4 * cuts + 4).tolist()
+            data, start = ids.tobytes(), 0
+            for w, end in zip(some, ends, strict=True):
+                self[w] = data[start:end]
+                start = end
 
 
 class Encoder:
-    """``ids(text)`` gives the ids of a whole text and the end id, as bytes.
+    """``ids(texts)`` gives the ids of each whole text and the end id, as bytes.
 
     path: tokenizer file of the ``tokenizers`` library. spaces_kept: whether a
-    space belongs to the word after it (byte-level) or is dropped. room: most
-    entries of each cache; a full cache starts anew, results don't change.
+    space belongs to the word after it (byte-level) or is dropped (and case with
+    it). room: most entries of a cache, about 250 bytes each; a full cache starts
+    anew, which changes no result.
     """
 
-    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 400_000):
+    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces_kept = spaces_kept
         self.end = np.array([end_id], ID).tobytes()
-        self.first = Pieces(self._whole, "", room)
-        self.spaced = Pieces(self._whole, " ", room)
-        self.feed = self._whole("\n") if spaces_kept else b""
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
-
-    def ids(self, text: str | None) -> bytes:
+        vocabulary = self.tokenizer.get_vocab()
+        mark = np.zeros(max(vocabulary.values()) + 1, bool)
+        # How the two vocabularies write a space before, and the end of, a word.
+        mark[[k for v, k in vocabulary.items() if (v.startswith("Ġ") if spaces_kept else v.endswith("</w>"))]] = True
+        self.first = Pieces(self.tokenizer, "", mark if not spaces_kept else mark[:0], room if not spaces_kept else room // 4)
+        self.spaced = Pieces(self.tokenizer, " ", mark, room)
+        self.feed = self.first.whole("\n")
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as the empty text: only the end id."""
-        if not text:
-            return self.end
-        if not self.spaces_kept:
-            return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" "))) + self.end
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
-            return self._whole(text) + self.end
-        lines = []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            lines.append(self.first[head] + b"".join(map(self.spaced.__getitem__, rest)))
-        return self.feed.join(lines) + self.end
+        return self._spaced(texts) if self.spaces_kept else self._dropped(texts)
+
+    def _dropped(self, texts: list[str | None]) -> list[bytes]:
+        cut = [self._lower(t).replace("\n", " ").split(" ") if t else [] for t in texts]
+        self.first.learn(set(chain.from_iterable(cut)))
+        return [b"".join(map(self.first.__getitem__, pieces)) + self.end for pieces in cut]
+
+    @staticmethod
+    def _lower(text: str) -> str:
+        """Lower case where the library's, which knows no final sigma, comes to the same."""
+        return text.lower() if text.isascii() or "Σ" not in text and unicodedata.is_normalized("NFC", text) else text
+
+    def _spaced(self, texts: list[str | None]) -> list[bytes]:
+        cut: list = []
+        for t in texts:
+            if t and len(t.split()) == t.count(" ") + t.count("\n") + 1:
+                cut.append([line.split(" ") for line in t.split("\n")])
+            else:
+                cut.append(self.first.whole(t) if t else b"")
+        lines = [line for x in cut if isinstance(x, list) for line in x]
+        self.first_learn({line[0] for line in lines})
+        self.spaced.learn(set(chain.from_iterable(line[1:] for line in lines)))
+        first, spaced = self.first.__getitem__, self.spaced.__getitem__
+        return [(x if isinstance(x, bytes) else self.feed.join([first(line[0]) + b"".join(map(spaced, line[1:])) for line in x])) + self.end for x in cut]
+
+    def first_learn(self, pieces: set[str]) -> None:
+        """Words at the start of a line have no mark to cut at: one by one."""
+        first = self.first
+        if len(first) >= first.room:
+            first.clear()
+        for p in pieces - first.keys():
+            if len(p) <= first.longest:
+                word = p.rstrip(TAILS)
+                first[p] = first.whole(word) + first.tail(p[len(word) :]) if word and word is not p and word[-1].isalnum() else first.whole(p)
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str, spaces_kept: bool) -> Encoder:
     """One per Python worker, so that tasks share its cache."""
     return Encoder(path, spaces_kept)
+
+
+def encoded(path: str, spaces_kept: bool, rows: Iterable[tuple], room: int = 4_000_000) -> Iterator[tuple]:
+    """(key, ids) of (key, text) rows, some at a time: up to ``room`` characters, or one text."""
+    held, size = [], 0
+    for key, text in rows:
+        held.append((key, text))
+        size += len(text or "")
+        if size >= room or len(held) >= 5000:
+            yield from zip([k for k, _ in held], encoder(path, spaces_kept).ids([t for _, t in held]), strict=True)
+            held, size = [], 0
+    if held:
+        yield from zip([k for k, _ in held], encoder(path, spaces_kept).ids([t for _, t in held]), strict=True)

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from equilibra.llm._tokens import encoder
+from equilibra.llm._tokens import encoded
 from equilibra.llm._work import cells, partition, run_dir, saved
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -42,14 +42,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096) -> DataFrame:
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        enc, names = encoder(path, False), [x.split()[0] for x in PIECES.split(", ")]
+        names = [x.split()[0] for x in PIECES.split(", ")]
         rows: list[tuple] = []
 
         def out():
             return pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=names)
 
-        for doc, text in cells(batches, "doc_id", "text"):
-            data = enc.ids(text)
+        for doc, data in encoded(path, False, cells(batches, "doc_id", "text")):
             n = len(data) // 4
             rows += [(doc, at, min(capacity, n - at), zlib.crc32(data[4 * at : 4 * (at + capacity)]), n) for at in range(0, n, capacity)]
             if len(rows) >= 20_000:

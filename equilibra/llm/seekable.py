@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from equilibra.llm._tokens import ID, encoder
+from equilibra.llm._tokens import ID, encoded
 from equilibra.llm._work import cells, files_of, partition, run_dir, saved
 
 FRAME_IDS = 1 << 16
@@ -127,14 +127,14 @@ def write_tokens(docs: DataFrame, path: str, folder: str) -> DataFrame:
         import pyarrow as pa
 
         writer, name, where = None, "", None
-        for doc, text in cells(batches, "doc_id", "text"):
+        for doc, ids in encoded(path, True, cells(batches, "doc_id", "text")):
             if writer is None:
                 fs, root = files_of(folder)
                 fs.create_dir(root, recursive=True)
                 name = f"{partition():05d}-{uuid.uuid4().hex}.ids.zst"
                 where = fs.open_output_stream(f"{root}/{name}", compression=None)
                 writer = Writer(where)
-            writer.add(doc, encoder(path, True).ids(text))
+            writer.add(doc, ids)
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pylist([{"part": partition(), "file": name, "docs": len(writer.index), "tokens": writer.tokens}], pa.schema([("part", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
