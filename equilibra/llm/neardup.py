@@ -46,6 +46,8 @@ from equilibra.llm._work import SPACE, bit_words, drop_ids, in_words, run_dir, s
 from equilibra.llm.components import components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
+PART, WIDE = 400_000, 4096  #: elements, and shared elements, that a block comparison holds at a time
+BLOCK, ELEMENTS = 512, 500_000  #: texts, and elements, of a block (one text at least)
 DARTS = 9.0  #: expected darts per coordinate at the first rank bound
 MIX1, MIX2, GOLD, BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x100000001B3))
 
@@ -234,20 +236,25 @@ def _links(nodes: np.ndarray, groups: np.ndarray, active: np.ndarray, sets: list
     """Links that join different groups of one cluster's nodes, as few as join them;
     pairs with at least one active node are compared."""
     size = np.array([len(s) for s in sets], float)
-    _, column = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), size.astype(int))
-    often = np.bincount(column) > 1
-    place = np.cumsum(often) - 1
-    keep = often[column]
-    column, owner = place[column[keep]], owner[keep]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
     common = np.zeros((len(sets), len(sets)))
-    for at in range(0, int(often.sum()), 8192):
-        a, b = np.searchsorted(column, (at, at + 8192))
-        held = np.zeros((len(sets), 8192), np.float32)
-        held[owner[a:b], column[a:b] - at] = 1
-        common += held @ held.T
+    # Elements are hashes, so ranges of them are even parts: one part at a time.
+    parts = int(size.sum()) // PART + 1
+    edges = [np.uint64((1 << 64) * k // parts) for k in range(parts)]
+    cuts = [[*np.searchsorted(s, edges).tolist(), len(s)] for s in sets]
+    for k in range(parts):
+        some = [s[c[k] : c[k + 1]] for s, c in zip(sets, cuts, strict=True)]
+        _, column = np.unique(np.concatenate(some), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in some])
+        often = np.bincount(column, minlength=1) > 1
+        keep = often[column]
+        column, owner = (np.cumsum(often) - 1)[column[keep]], owner[keep]
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        for at in range(0, int(often.sum()), WIDE):
+            a, b = np.searchsorted(column, (at, at + WIDE))
+            held = np.zeros((len(sets), WIDE), np.float32)
+            held[owner[a:b], column[a:b] - at] = 1
+            common += held @ held.T
     close = common / (size[:, None] + size[None, :] - common) >= SIMILARITY
     close &= (groups[:, None] != groups[None, :]) & (active[:, None] | active[None, :])
     root = {g: g for g in groups.tolist()}
@@ -266,32 +273,36 @@ def _links(nodes: np.ndarray, groups: np.ndarray, active: np.ndarray, sets: list
     return out
 
 
-def block_links(members: DataFrame, clusters: DataFrame, linked: DataFrame, sets: DataFrame, folder: str, block: int = 512) -> DataFrame:
+def block_links(members: DataFrame, clusters: DataFrame, linked: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
     """Links (a, b) between components of one cluster that pivots didn't find."""
-    nodes = members.select("node").distinct().join(clusters.withColumnRenamed("component", "cluster"), "node").join(linked.withColumnRenamed("component", "part"), "node", "left")
-    nodes = saved(nodes.select("node", "cluster", F.coalesce("part", "node").alias("part")), f"{folder}/nodes")
-    parts = nodes.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("size"))
-    open_ = parts.groupBy("cluster").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "part")).alias("main"), F.sum("size").alias("all")).filter("parts > 1")
-    open_ = open_.select("cluster", F.col("main.part").alias("main"), F.ceil(F.col("main.size") / block).alias("mains"), F.ceil((F.col("all") - F.col("main.size")) / block).alias("rests"), "all")
+    nodes = members.select("node", "n").distinct().join(clusters.withColumnRenamed("component", "cluster"), "node").join(linked.withColumnRenamed("component", "part"), "node", "left")
+    nodes = saved(nodes.select("node", "n", "cluster", F.coalesce("part", "node").alias("part")), f"{folder}/nodes")
+    blocks = lambda texts, elements: F.ceil(F.greatest(texts / BLOCK, elements / ELEMENTS))
+    parts = nodes.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
+    open_ = parts.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "part", "n")).alias("main"), F.sum("size").alias("all"), F.sum("n").alias("n")
+    ).filter("parts > 1")
+    rest = blocks(F.col("all") - F.col("main.size"), F.col("n") - F.col("main.n"))
+    open_ = open_.select("cluster", F.col("main.part").alias("main"), blocks(F.col("main.size"), F.col("main.n")).alias("mains"), rest.alias("rests"), (blocks(F.col("all"), F.col("n")) <= 1).alias("small"))
     left = nodes.join(open_, "cluster").withColumn("active", F.col("part") != F.col("main"))
     spot = F.when(F.col("active"), F.col("mains") + F.pmod(F.xxhash64("node"), F.col("rests"))).otherwise(F.pmod(F.xxhash64("node"), F.col("mains")))
-    small = F.col("all") <= block
+    small = F.col("small")
     left = left.withColumn("spot", F.when(small, F.lit(0).cast("long")).otherwise(spot))
     others = F.when(small, F.array(F.lit(0).cast("long"))).otherwise(
         F.sequence(F.when(F.col("active"), F.lit(0).cast("long")).otherwise(F.col("mains")), F.col("mains") + F.col("rests") - 1)
     )
     dealt = left.withColumn("other", F.explode(others))
-    # Clusters of one block share tasks' groups, a few hundred texts in each; larger ones have a group for each pair of blocks.
-    heaps = max(1, nodes.count() // 400)
+    # Clusters of one block share groups of about a block's size; larger ones have a group for each pair of blocks.
+    heaps = max(1, (nodes.agg(F.sum("n")).first()[0] or 0) // ELEMENTS)
     group = F.when(small, F.pmod(F.xxhash64("cluster"), F.lit(heaps))).otherwise(F.xxhash64("cluster", F.least("spot", "other"), F.greatest("spot", "other")))
     dealt = dealt.select("node", "cluster", "part", "active", group.alias("group"), F.when(small, F.lit(0)).otherwise(1).alias("kind"))
-    dealt = dealt.join(sets, "node").select("group", "kind", "cluster", "node", "part", "active", "elements")
+    dealt = dealt.join(sets.select("node", "elements"), "node").select("group", "kind", "cluster", "node", "part", "active", "elements")
 
     def compare(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict] = {}
         for batch in batches:
             for cluster, node, part, active, elements in zip(*(batch.column(n).to_pylist() for n in ("cluster", "node", "part", "active")), batch.column("elements"), strict=True):
-                held.setdefault(cluster, {})[node] = part, active, elements.values.to_numpy()
+                held.setdefault(cluster, {})[node] = part, active, elements.values.to_numpy().view(np.uint64)
         links = []
         for found in held.values():
             names = np.array(list(found), np.int64)
