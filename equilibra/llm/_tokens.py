@@ -25,11 +25,25 @@ END_ID = 2
 ID = np.dtype("<u4")
 #: Symbols that neither tokenizer joins to letters or digits before them.
 TAILS = ".,!?;:*$%&#|"
+MARK = "\0"
+CROWDED = (" ,", " .", "\n,", "\n.", ",,", ",.", ".,", "..")
+
+
+def apart(text: str) -> str:
+    """Plain prose with commas and stops set off as pieces that no space precedes (marked so).
+
+    Only where letters and digits are all else, and one of them precedes each.
+    """
+    plain = text.replace(" ", "").replace("\n", "").replace(",", "").replace(".", "").isalnum()
+    if plain and text[0] not in ",." and not any(x in text for x in CROWDED):
+        return text.replace(",", " \0,").replace(".", " \0.")
+    return text
 
 
 class Pieces(dict):
     """Cache: piece of text -> its ids as little-endian unsigned 32-bit bytes.
 
+    A piece follows ``prefix`` in its text, or the line feed that it starts with.
     ``mark`` tells for each id whether a word of letters starts (or, without
     ``prefix``, ends) with it. Pieces of over ``longest`` characters aren't kept.
     At ``room`` entries the cache starts anew, taking over what is asked for again.
@@ -40,12 +54,14 @@ class Pieces(dict):
         self.tokenizer, self.prefix, self.mark, self.room, self.longest = tokenizer, prefix, mark, room, longest
         self.tails: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.feed = int(np.frombuffer(self.whole("\n") or b"\xff" * 4, ID)[0])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        return self.whole(self.prefix + piece)
+        first = piece[:1]
+        return self.whole(piece[1:] if first == MARK else piece if first == "\n" else self.prefix + piece)
 
     def tail(self, symbols: str) -> bytes:
         if symbols not in self.tails:
@@ -65,31 +81,35 @@ class Pieces(dict):
                 continue
             if p in self.before:
                 self[p] = self.before[p]
-            elif p.isalpha():
+            elif p.isalpha() or p[:1] == "\n" and p[1:].isalpha():
                 words.add(p)
             elif (word := p.rstrip(TAILS)) and word[-1].isalnum() and word is not p:
                 ended.append((p, word))
-                if word not in self:
+                if word not in self and word not in words:
                     if word in self.before:
                         self[word] = self.before[word]
                     elif word.isalpha():
                         words.add(word)
+                    else:
+                        self[word] = self[word]
             else:
-                self[p] = self.whole(self.prefix + p)
+                self[p] = self[p]
         self._words(list(words))
         for p, word in ended:
             self[p] = self[word] + self.tail(p[len(word) :])
 
     def _words(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4000):
-            some = words[at : at + 4000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, ID)
-            cuts = np.flatnonzero(self.mark[ids])
+        """Pieces of letters, or a line feed and letters, many in a text."""
+        spaced, fed = [w for w in words if w[0] != "\n"], [w for w in words if w[0] == "\n"]
+        for some in (x[at : at + 4000] for x in (spaced, fed) for at in range(0, len(x), 4000)):
+            lines = some[0][0] == "\n"
+            data = self.whole("".join(some) if lines else " " + " ".join(some))
+            ids = np.frombuffer(data, ID)
+            cuts = np.flatnonzero(ids == self.feed if lines else self.mark[ids])
             if len(cuts) != len(some):
-                self.update((w, self.whole(self.prefix + w)) for w in some)
+                self.update((w, self[w]) for w in some)
                 continue
-            ends = [*(4 * cuts[1:]).tolist(), 4 * len(ids)] if self.prefix else (4 * cuts + 4).tolist()
-            data, start = ids.tobytes(), 0
+            ends, start = [*(4 * cuts[1:]).tolist(), len(data)] if self.prefix else (4 * cuts + 4).tolist(), 0
             for w, end in zip(some, ends, strict=True):
                 self[w] = data[start:end]
                 start = end
@@ -104,7 +124,7 @@ class Encoder:
     anew, which changes no result.
     """
 
-    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 700_000):
+    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -115,18 +135,16 @@ class Encoder:
         mark = np.zeros(max(vocabulary.values()) + 1, bool)
         # How the two vocabularies write a space before, and the end of, a word.
         mark[[k for v, k in vocabulary.items() if (v.startswith("Ġ") if spaces_kept else v.endswith("</w>"))]] = True
-        self.first = Pieces(self.tokenizer, "", mark if not spaces_kept else mark[:0], room if not spaces_kept else room // 4)
-        self.spaced = Pieces(self.tokenizer, " ", mark, room)
-        self.feed = self.first.whole("\n")
+        self.pieces = Pieces(self.tokenizer, " " if spaces_kept else "", mark, room)
+        self.feed = self.pieces.whole("\n")
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as the empty text: only the end id."""
         return self._spaced(texts) if self.spaces_kept else self._dropped(texts)
 
     def _dropped(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self._lower(t).replace("\n", " ").split(" ") if t else [] for t in texts]
-        self.first.learn(set(chain.from_iterable(cut)))
-        return [b"".join(map(self.first.__getitem__, pieces)) + self.end for pieces in cut]
+        cut = [[] if not t else self.pieces.whole(t) if MARK in t else apart(self._lower(t)).replace("\n", " ").split(" ") for t in texts]
+        return self._joined(cut, 0)
 
     @staticmethod
     def _lower(text: str) -> str:
@@ -136,25 +154,27 @@ class Encoder:
     def _spaced(self, texts: list[str | None]) -> list[bytes]:
         cut: list = []
         for t in texts:
-            if t and len(t.split()) == t.count(" ") + t.count("\n") + 1:
-                cut.append([line.split(" ") for line in t.split("\n")])
+            if t and MARK not in t and self._single(t):
+                cut.append(apart(t).replace("\n", " \n").split(" "))
             else:
-                cut.append(self.first.whole(t) if t else b"")
-        lines = [line for x in cut if isinstance(x, list) for line in x]
-        self.first_learn({line[0] for line in lines})
-        self.spaced.learn(set(chain.from_iterable(line[1:] for line in lines)))
-        first, spaced = self.first.__getitem__, self.spaced.__getitem__
-        return [(x if isinstance(x, bytes) else self.feed.join([first(line[0]) + b"".join(map(spaced, line[1:])) for line in x])) + self.end for x in cut]
-
-    def first_learn(self, pieces: set[str]) -> None:
-        """Words at the start of a line have no mark to cut at: one by one."""
-        first = self.first
-        if len(first) >= first.room:
-            first.clear()
-        for p in pieces - first.keys():
-            if len(p) <= first.longest:
-                word = p.rstrip(TAILS)
-                first[p] = first.whole(word) + first.tail(p[len(word) :]) if word and word is not p and word[-1].isalnum() else first.whole(p)
+                cut.append(self.pieces.whole(t) if t else b"")
+        lists = [x for x in cut if isinstance(x, list)]
+        for x in lists:
+            x[0] = "\n" + x[0]
+        return self._joined(cut, len(self.feed))
+
+    def _joined(self, cut: list, skip: int) -> list[bytes]:
+        """The ids of lists of pieces (without the first ``skip`` bytes), or those given."""
+        self.pieces.learn(set(chain.from_iterable(x for x in cut if isinstance(x, list))))
+        get = self.pieces.__getitem__
+        return [(x if isinstance(x, bytes) else b"".join(map(get, x))[skip:]) + self.end for x in cut]
+
+    @staticmethod
+    def _single(text: str) -> bool:
+        """Whether all white space is single spaces and line feeds between other characters."""
+        if any(x in text for x in ("  ", " \n", "\n ", "\n\n")) or text[0] in " \n" or text[-1] in " \n":
+            return False
+        return text.replace("\n", "").isprintable() or len(text.split()) == text.count(" ") + text.count("\n") + 1
 
 
 @lru_cache(maxsize=4)
