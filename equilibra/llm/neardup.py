@@ -330,6 +330,7 @@ def classes(docs: DataFrame) -> DataFrame:
     mine = signed.select("doc_id", "node").join(linked.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
     mine = saved(mine.select("doc_id", F.coalesce("component", "node").alias("group")), f"{folder}/groups")
     named = mine.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).withColumnRenamed("group", "of")
+    named = saved(named, f"{folder}/named")
     return mine.join(named, F.col("group") == F.col("of")).select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
