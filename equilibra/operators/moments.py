@@ -21,16 +21,17 @@ several observations merge exactly for n, s, mn, mx; the pooled variance is
 sample standard deviation is ``sqrt(M2 / (N - 1))`` for N > 1, else null,
 as with ``stddev``. The mean is ``S / N`` (null when N = 0, as with ``avg``).
 
-Accuracy: ``m2_i`` is computed around the observation's own mean (two
-passes over its array), so only the between-observation term cancels; its
-relative error on the variance is about 1e-16 * (mean / spread)^2. Samples
-are float32 (about 1e-7 relative), so wherever that term's error would show,
-the float32 rounding of the samples themselves is already larger. A Welford
-merge would need a second aggregation and a join; not worth it here.
+Accuracy: nothing cancels. ``m2_i`` is taken around the observation's own mean
+(two passes over its array), and where a standard deviation is asked for, the
+groups' means are joined back and ``M2 = sum(m2_i + n_i * (mean_i - mean)^2)``.
+Without it, groups need one aggregation and no join.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,22 +69,33 @@ def add_moments(df: DataFrame, name: str, values: Column) -> DataFrame:
     return df.drop(tmp)
 
 
-def partial_aggs(m: Column, prefix: str, when: Column | None = None) -> list[Column]:
-    """Aggregate columns ``<prefix>_{N,S,MN,MX,Q}`` merging moment structs;
-    ``when`` restricts the rows taken."""
-
-    def pick(c: Column) -> Column:
-        return c if when is None else F.when(when, c)
-
+def partial_aggs(m: Column, prefix: str) -> list[Column]:
+    """Aggregate columns ``<prefix>_{N,S,MN,MX}`` merging moment structs."""
     return [
-        F.sum(pick(m["n"])).alias(f"{prefix}_N"),
-        F.sum(pick(m["s"])).alias(f"{prefix}_S"),
-        F.min(pick(m["mn"])).alias(f"{prefix}_MN"),
-        F.max(pick(m["mx"])).alias(f"{prefix}_MX"),
-        F.sum(pick(m["m2"] + F.try_divide(m["s"] * m["s"], m["n"]))).alias(f"{prefix}_Q"),
+        F.sum(m["n"]).alias(f"{prefix}_N"),
+        F.sum(m["s"]).alias(f"{prefix}_S"),
+        F.min(m["mn"]).alias(f"{prefix}_MN"),
+        F.max(m["mx"]).alias(f"{prefix}_MX"),
     ]
 
 
+def grouped(rows: DataFrame, keys: list[str], moments: dict[str, str], *extra: Column, std: bool) -> DataFrame:
+    """Merge moment structs per group: ``partial_aggs`` of each (prefix -> column),
+    ``extra`` aggregates and, with ``std``, the squared deviations ``<prefix>_Q``
+    around the group's mean, which is joined back (null keys match)."""
+    aggs = [a for prefix, c in moments.items() for a in partial_aggs(F.col(c), prefix)]
+    if not std:
+        return rows.groupBy(*keys).agg(*aggs, *extra)
+    means = rows.groupBy(*keys).agg(*aggs).select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[mean_of(prefix).alias(f"{prefix}_C") for prefix in moments]
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    for prefix, c in moments.items():
+        m = F.col(c)
+        aggs.append(F.sum(m["m2"] + m["n"] * F.pow(F.try_divide(m["s"], m["n"]) - F.col(f"{prefix}_C"), 2)).alias(f"{prefix}_Q"))
+    return rows.join(means, same).groupBy(*keys).agg(*aggs, *extra)
+
+
 def mean_of(prefix: str) -> Column:
     return F.try_divide(F.col(f"{prefix}_S"), F.col(f"{prefix}_N"))
 
@@ -97,6 +109,5 @@ def max_of(prefix: str) -> Column:
 
 
 def stddev_of(prefix: str) -> Column:
-    n, s, q = (F.col(f"{prefix}_{k}") for k in ("N", "S", "Q"))
-    m2 = F.greatest(q - F.try_divide(s * s, n), F.lit(0.0))
-    return F.when(n > 1, F.sqrt(F.try_divide(m2, n - 1)))
+    n, q = F.col(f"{prefix}_N"), F.col(f"{prefix}_Q")
+    return F.when(n > 1, F.sqrt(F.try_divide(q, n - 1)))

@@ -37,9 +37,9 @@ sess AS (
          CAST(o.ts AS DATE) AS "Date",
          CAST(weekofyear(CAST(o.ts AS DATE)) AS INTEGER) AS "Week",
          strftime(o.ts, '%H:%M:%S') || '+00:00' AS "Start_time",
-         c.n_lines
+         coalesce(c.n_lines, 0) AS n_lines
   FROM (SELECT *, o_orderdate + to_seconds(CAST((o_orderkey * 37) % 86400 AS BIGINT)) AS ts FROM orders) o
-  JOIN cnt c ON c.ok = o.o_orderkey),
+  LEFT JOIN cnt c ON c.ok = o.o_orderkey),
 sig AS (
   SELECT ok, f,
          '[[[' || string_agg(CAST(q AS VARCHAR), ' ' ORDER BY ms, q) || ']]]' AS data,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from equilibra import codes as C
 from equilibra.functions import parse_float, sample_tokens
-from equilibra.operators.moments import add_moments, max_of, mean_of, min_of, partial_aggs, stddev_of
+from equilibra.operators.moments import add_moments, grouped, max_of, mean_of, min_of, stddev_of
 from equilibra.operators.observations import observations
 
 FINGERPRINT = "_fp"
@@ -59,7 +59,7 @@ def observation_moments(bundles: DataFrame, component_codes: list[str]) -> DataF
 
 
 def _stat(moments: DataFrame, keys: list[str], stat: Callable[[str], Column], name: str, sort: bool) -> DataFrame:
-    out = moments.groupBy(*keys).agg(*partial_aggs(F.col(MOMENTS), "_a")).select(*keys, stat("_a").alias(name))
+    out = grouped(moments, keys, {"_a": MOMENTS}, std=stat is stddev_of).select(*keys, stat("_a").alias(name))
     return out.orderBy(C.WEEK, *[k for k in keys if k != C.WEEK]) if sort else out
 
 

@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 
 from equilibra import codes as C
 from equilibra.functions import parse_float, sample_tokens
-from equilibra.operators.moments import add_moments, max_of, mean_of, min_of, partial_aggs, stddev_of
+from equilibra.operators.moments import add_moments, max_of, mean_of, min_of, grouped, stddev_of
 from equilibra.operators.observations import observations, select_component
 from equilibra.plans.movement import fingerprint
 
 KEYS = [C.PATIENT, C.DATE, C.WEEK, C.DISPLAY, C.TEXT]
+INSIDE = "_inside"
 STATS = {"Mean": mean_of, "STD": stddev_of, "Min": min_of, "Max": max_of}
 
 
@@ -39,8 +40,8 @@ def segment_label(lo: int, hi: int) -> str:
 
 
 def segment_moments(bundles: DataFrame, code: str) -> DataFrame:
-    """Distinct timed observations with a sample in [0, 60] s, reduced to one
-    moments struct per segment (``_m0`` .. ``_m3``)."""
+    """Distinct timed observations reduced to one moments struct per segment
+    (``_m0`` .. ``_m3``) and the number of samples in [0, 60] s."""
     obs = select_component(observations(bundles, [code], times=True), code)
     pad = F.array(F.lit(None).cast("string"))
     zipped = F.arrays_zip(
@@ -60,7 +61,7 @@ def segment_moments(bundles: DataFrame, code: str) -> DataFrame:
         fingerprint(F.coalesce(C.SAMPLE_TIMES, F.lit(""))).alias("_fp_t"),
         C.SAMPLE_TIMES,
         points.alias("_z"),
-    ).filter(F.exists("_z", lambda p: p["sec"].between(first, last)))
+    ).withColumn(INSIDE, F.size(F.filter("_z", lambda p: p["sec"].between(first, last))))
     # null and '' texts print alike; keep the null-ness in the identity.
     df = df.withColumn("_nulls", F.struct(F.col(C.SAMPLES).isNull(), F.col(C.SAMPLE_TIMES).isNull())).drop(
         C.SAMPLES, C.SAMPLE_TIMES
@@ -71,14 +72,18 @@ def segment_moments(bundles: DataFrame, code: str) -> DataFrame:
     return df.drop("_z").distinct()
 
 
-def segment_statistics(bundles: DataFrame, code: str) -> DataFrame:
-    """All 16 statistics: ``<lo>_<hi> <Mean|STD|Min|Max>`` per key."""
-    merged = segment_moments(bundles, code).groupBy(*KEYS).agg(
-        *[a for j in range(len(C.SEGMENTS)) for a in partial_aggs(F.col(f"_m{j}"), f"_a{j}")]
-    )
+def segment_statistics(bundles: DataFrame, code: str, stats: tuple[str, ...] = tuple(STATS)) -> DataFrame:
+    """``<lo>_<hi> <Mean|STD|Min|Max>`` per key, all 16 unless ``stats`` names fewer.
+
+    A key stays if any of its samples, null values included, lies in [0, 60] s.
+    That is decided after the aggregation: observations without such a sample
+    change no statistic, and a filter before it would parse the texts twice.
+    """
+    moments = {f"_a{j}": f"_m{j}" for j in range(len(C.SEGMENTS))}
+    merged = grouped(segment_moments(bundles, code), KEYS, moments, F.sum(INSIDE).alias(INSIDE), std="STD" in stats).filter(F.col(INSIDE) > 0)
     cols = [
         STATS[stat](f"_a{j}").alias(f"{segment_label(lo, hi)} {stat}")
-        for stat in STATS
+        for stat in stats
         for j, (lo, hi) in enumerate(C.SEGMENTS)
     ]
     return merged.select(*KEYS, *cols)
@@ -86,5 +91,4 @@ def segment_statistics(bundles: DataFrame, code: str) -> DataFrame:
 
 def segment_product(bundles: DataFrame, code: str, stat: str) -> DataFrame:
     """One of the four products: keys + the four segment columns of ``stat``."""
-    names = [f"{segment_label(lo, hi)} {stat}" for lo, hi in C.SEGMENTS]
-    return segment_statistics(bundles, code).select(*KEYS, *names)
+    return segment_statistics(bundles, code, (stat,))

@@ -85,7 +85,8 @@ def _bracketed(items: Column, field: str) -> Column:
 
 
 def session_bundle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One bundle holding one session observation per order that has lines.
+    """One bundle holding one session observation per order; one without lines
+    has no sampled component and 0 repetitions.
 
     Patient = customer, exercise (display) = order priority, time of day =
     ``(o_orderkey * 37) % 86400`` s after midnight of the order date. Line
@@ -103,8 +104,10 @@ def session_bundle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
     per_order = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     joined = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(
-        per_order, F.col("o_orderkey") == F.col("l_orderkey"), "inner"
+        per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
+    none = F.array().cast(per_order.schema["lines"].dataType)
+    joined = joined.withColumn("lines", F.coalesce("lines", none))
 
     key = F.col("o_orderkey")
 
