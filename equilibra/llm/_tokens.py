@@ -124,7 +124,7 @@ class Encoder:
     anew, which changes no result.
     """
 
-    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 500_000):
+    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -183,7 +183,7 @@ def encoder(path: str, spaces_kept: bool) -> Encoder:
     return Encoder(path, spaces_kept)
 
 
-def encoded(path: str, spaces_kept: bool, rows: Iterable[tuple], room: int = 4_000_000) -> Iterator[tuple]:
+def encoded(path: str, spaces_kept: bool, rows: Iterable[tuple], room: int = 2_000_000) -> Iterator[tuple]:
     """(key, ids) of (key, text) rows, some at a time: up to ``room`` characters, or one text."""
     held, size = [], 0
     for key, text in rows:

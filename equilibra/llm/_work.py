@@ -87,4 +87,6 @@ def partition() -> int:
 def cells(batches: Iterator, *names: str) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples of Python values."""
     for batch in batches:
-        yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+        for at in range(0, len(batch), 500):
+            part = batch.slice(at, 500)
+            yield from zip(*(part.column(n).to_pylist() for n in names), strict=True)

@@ -70,7 +70,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -186,7 +186,7 @@ def signatures(texts: DataFrame) -> DataFrame:
                 h = shingles(text.as_py())
                 ids.append(doc), nodes.append(node), sets.append(np.unique(h, return_counts=True)), sizes.append(len(h))
                 held += len(h) + 300
-                if held > 150_000:
+                if held > 100_000:
                     yield out(ids, nodes, sets, sizes)
                     ids, nodes, sets, sizes, held = [], [], [], [], 0
             if ids:
