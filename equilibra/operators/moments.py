@@ -13,25 +13,20 @@ a small struct
     m2  sum of squared deviations from the observation's own mean
 
 and only these structs are de-duplicated and aggregated. Partial states of
-several observations merge exactly for n, s, mn, mx; the pooled variance is
-
-    M2 = sum(m2_i) + sum(s_i^2 / n_i) - S^2 / N
-
-(within-observation part + between-observation part), from which the
-sample standard deviation is ``sqrt(M2 / (N - 1))`` for N > 1, else null,
-as with ``stddev``. The mean is ``S / N`` (null when N = 0, as with ``avg``).
-
-Accuracy: nothing cancels. ``m2_i`` is taken around the observation's own mean
-(two passes over its array), and where a standard deviation is asked for, the
-groups' means are joined back and ``M2 = sum(m2_i + n_i * (mean_i - mean)^2)``.
-Without it, groups need one aggregation and no join.
+several observations merge exactly for n, s, mn, mx. The mean is ``S / N`` (null
+when N = 0, as with ``avg``).
+
+The standard deviation is Spark's own ``stddev``, whose partial states merge
+around their means, so nothing cancels. It is fed, per de-duplicated observation,
+n values that have the observation's mean and its ``m2`` (taken around that mean,
+in two passes over its array): one value at ``mean + a``, the others at
+``mean - a / (n - 1)``, with ``a = sqrt(m2 * (n - 1) / n)``. They are made behind the
+shuffle of the DISTINCT and folded by the map-side aggregation in the same
+stage, so no row of them is shuffled and no group's mean is joined back.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,11 +64,13 @@ def add_moments(df: DataFrame, name: str, values: Column) -> DataFrame:
     return df.drop(tmp)
 
 
-def partial_aggs(m: Column, prefix: str) -> list[Column]:
-    """Aggregate columns ``<prefix>_{N,S,MN,MX}`` merging moment structs."""
+def partial_aggs(m: Column, prefix: str, once: Column | None = None) -> list[Column]:
+    """Aggregate columns ``<prefix>_{N,S,MN,MX}`` merging moment structs, of the rows
+    that ``once`` marks where an observation has several."""
+    n, s = (m[f] if once is None else F.when(once, m[f]) for f in ("n", "s"))
     return [
-        F.sum(m["n"]).alias(f"{prefix}_N"),
-        F.sum(m["s"]).alias(f"{prefix}_S"),
+        F.sum(n).alias(f"{prefix}_N"),
+        F.sum(s).alias(f"{prefix}_S"),
         F.min(m["mn"]).alias(f"{prefix}_MN"),
         F.max(m["mx"]).alias(f"{prefix}_MX"),
     ]
@@ -81,19 +78,18 @@ def partial_aggs(m: Column, prefix: str) -> list[Column]:
 
 def grouped(rows: DataFrame, keys: list[str], moments: dict[str, str], *extra: Column, std: bool) -> DataFrame:
     """Merge moment structs per group: ``partial_aggs`` of each (prefix -> column),
-    ``extra`` aggregates and, with ``std``, the squared deviations ``<prefix>_Q``
-    around the group's mean, which is joined back (null keys match)."""
-    aggs = [a for prefix, c in moments.items() for a in partial_aggs(F.col(c), prefix)]
+    ``extra`` aggregates (with ``std`` they meet an observation several times, so only
+    such as don't mind) and, with ``std``, the standard deviation ``<prefix>_D``."""
     if not std:
-        return rows.groupBy(*keys).agg(*aggs, *extra)
-    means = rows.groupBy(*keys).agg(*aggs).select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[mean_of(prefix).alias(f"{prefix}_C") for prefix in moments]
-    )
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+        return rows.groupBy(*keys).agg(*[a for prefix, c in moments.items() for a in partial_aggs(F.col(c), prefix)], *extra)
+    at, aggs = F.col("_at"), []
+    longest = F.greatest(F.lit(1), *[F.col(c)["n"] for c in moments.values()])
     for prefix, c in moments.items():
-        m = F.col(c)
-        aggs.append(F.sum(m["m2"] + m["n"] * F.pow(F.try_divide(m["s"], m["n"]) - F.col(f"{prefix}_C"), 2)).alias(f"{prefix}_Q"))
-    return rows.join(means, same).groupBy(*keys).agg(*aggs, *extra)
+        n, mean = F.col(c)["n"], F.try_divide(F.col(c)["s"], F.col(c)["n"])
+        a = F.sqrt(F.try_divide(F.col(c)["m2"] * (n - 1), n))
+        value = F.when(at > n, None).when(at == 1, mean + a).otherwise(mean - F.try_divide(a, n - 1))
+        aggs += [*partial_aggs(F.col(c), prefix, at == 1), F.stddev_samp(value).alias(f"{prefix}_D")]
+    return rows.withColumn("_at", F.explode(F.sequence(F.lit(1), longest))).groupBy(*keys).agg(*aggs, *extra)
 
 
 def mean_of(prefix: str) -> Column:
@@ -109,5 +105,4 @@ def max_of(prefix: str) -> Column:
 
 
 def stddev_of(prefix: str) -> Column:
-    n, q = F.col(f"{prefix}_N"), F.col(f"{prefix}_Q")
-    return F.when(n > 1, F.sqrt(F.try_divide(q, n - 1)))
+    return F.col(f"{prefix}_D")

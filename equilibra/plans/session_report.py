@@ -23,16 +23,19 @@ Plan, instead of 12 re-shuffling full joins:
   *aggregate output* of those two, so Catalyst cannot push the filter under
   the aggregate and all sides reuse the same two shuffles (one scan of the
   samples, one of the small components).
-* A skeleton of the distinct keys is left-joined with each side. A left
-  outer join keeps the left side's hash partitioning, so the growing result
-  is never re-shuffled; only each (small) side is.
+* A skeleton of the distinct keys is left-joined with speed, range and the
+  symptoms. A left outer join keeps the left side's hash partitioning, so the
+  growing result is never re-shuffled; only each (small) side is.
+* Where rows per key grow with the data (scores with durations, the sessions of
+  a day, repetitions), the join is an inner join of completed sides: each side
+  gets a row of nulls for each key that only the other has, from one
+  aggregation over both sides' keys. Its rows are those of the full outer join,
+  and AQE can split a hot key of either side over tasks, as it never can in an
+  outer join. Six joins in all.
 * Rows with a null key part get a discriminator (side tag + hash of the row)
   as an extra join key, so they pair with nothing but their own side and are
-  spread over tasks rather than collected in one.
-* Durations that match no score row stand alone; the repetitions are the
-  one full outer join, on K.
-* The score side, whose rows per key grow with sessions per day, is attached
-  last as inner join + anti join so AQE's skew handling can split a hot key.
+  spread over tasks rather than collected in one; so do durations that match
+  no score row, which stand alone until the repetitions.
 """
 
 from __future__ import annotations
@@ -188,90 +191,81 @@ def _attach(left: DataFrame, right: DataFrame, payload: list[str]) -> DataFrame:
     return left.join(r.hint("merge"), cond, "left").drop(*["_r" + k for k in keys])
 
 
-def _attach_splittable(left: DataFrame, right: DataFrame, payload: list[str]) -> DataFrame:
-    """``_attach`` for a side whose rows per key grow with the data (score
-    rows: one per session of the day). Written as inner join + anti join (the
-    same rows as the left outer join): AQE can split a skewed partition of
-    either side of an inner join across tasks, but never the right side of a
-    left outer join, so a hot key's product is shared out instead of
-    produced by one task."""
-    keys = K + [SOLO]
-    r = right.select(*[F.col(k).alias("_r" + k) for k in keys], *payload)
-    # One struct key (null parts compare equal, as with per-column <=>): the
-    # left side's current partitioning does not match it, so the join gets
-    # its own exchange on both sides, which AQE's skew handling needs.
-    cond = F.struct(*keys).eqNullSafe(F.struct(*[F.col("_r" + k) for k in keys]))
-    matched = left.join(r, cond, "inner").drop(*["_r" + k for k in keys])
-    alone = left.join(r, cond, "left_anti")
-    alone = alone.select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in payload])
-    return matched.unionByName(alone)
+def _on(left: list[str], right: list[str]) -> Column:
+    """Equality of two key lists as one struct each, null parts equal. The sides'
+    partitioning doesn't match a struct, so an inner join on it gets its own
+    exchange on both sides, which AQE's skew handling needs to split a hot key."""
+    return F.struct(*left).eqNullSafe(F.struct(*right))
 
 
-def session_report(bundles: DataFrame) -> DataFrame:
-    speed, rng = movement_sides(bundles)
-    facts = fact_rows(bundles)
-    flags = flag_side(facts)
-    score = _side(facts, C.SESSION_SCORE).select(*K, C.START, F.col(C.QUANTITY).alias("Session_score"))
-    duration = _side(facts, C.DURATION).select(*K, C.START, F.col(C.QUANTITY).alias("Duration"))
-    reps = _side(facts, C.REPETITIONS).select(*K, F.col(C.QUANTITY).alias("Total_reps"))
+def _presence(keys: list[str], **sides: DataFrame) -> DataFrame:
+    """Distinct ``keys`` of the sides with a boolean column per side: whether it has the key."""
+    rows = [d.select(*keys, *[F.lit(n == name).alias(n) for n in sides]) for name, d in sides.items()]
+    return reduce(DataFrame.unionByName, rows).groupBy(*keys).agg(*[F.max(n).alias(n) for n in sides])
 
-    # Score rows with their durations (equal K and Start_time) and the
-    # durations no score row matches, from one full outer join.
-    # Null-safe equality plus a per-row discriminator where a key part is
-    # null: same matches as plain equality, but Catalyst infers no
-    # IS NOT NULL filters to push into the shared facts scan (which would
-    # fork it into a second scan).
-    tk = K + [C.START]
-
-    def unmatched(side: str, cols: list[str]) -> Column:
-        return F.when(_any_null(tk), F.concat(F.lit(side), F.xxhash64(*cols).cast("string")))
-
-    d = duration.select(
-        *[F.col(k).alias("_d" + k) for k in tk],
-        "Duration",
-        unmatched("d:", [*tk, "Duration"]).alias("_dx"),
-    )
-    s_ = score.withColumn("_score", F.lit(True)).withColumn("_sx", unmatched("s:", [*tk, "Session_score"]))
-    on_time = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_d" + k)) for k in tk] + [F.col("_sx").eqNullSafe(F.col("_dx"))]
+
+def _completed(rows: DataFrame, missing: DataFrame) -> DataFrame:
+    """``rows`` and one row of nulls for each missing key. An inner join of two sides
+    completed in this way has the rows of their full outer join."""
+    return rows.unionByName(missing, allowMissingColumns=True)
+
+
+def _product(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``, null parts equal; the keys once."""
+    r = right.select(*[F.col(c).alias("_r" + c) if c in keys else F.col(c) for c in right.columns])
+    return left.join(r, _on(keys, ["_r" + k for k in keys]), "inner").drop(*["_r" + k for k in keys])
+
+
+def timed_sides(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Score rows with their durations (equal K and Start_time) and the durations
+    that no score row matches, as one frame; and their (K, SOLO) keys.
+
+    A score row with a full key has no discriminator and meets the other sides on
+    K; a lone duration has one (so it meets none of them), as has a row with a
+    null key part. All duration matches of one score row share it.
+    """
+    tk = [*K, C.START]
+
+    def side(code: str, name: str) -> DataFrame:
+        own = F.when(_any_null(tk), F.concat(F.lit(name + ":"), F.xxhash64(*tk, name).cast("string")))
+        return _side(facts, code).select(*tk, F.col(C.QUANTITY).alias(name)).withColumn("_own", own)
+
+    score, duration = side(C.SESSION_SCORE, "Session_score"), side(C.DURATION, "Duration")
+    seen = _presence([*tk, "_own"], _s=score, _d=duration)
+    lone = F.concat(F.lit("lone:"), F.xxhash64(*tk, "_own").cast("string"))
+    solo = F.when(_any_null(K), F.concat(F.lit("score:"), F.xxhash64(*tk, "Session_score").cast("string")))
+    scores = score.withColumn(SOLO, solo)
+    alone = seen.filter(~F.col("_s")).select(*tk, "_own", lone.alias(SOLO))
+    rows = _product(
+        _completed(scores, alone),
+        _completed(duration, seen.filter(~F.col("_d")).select(*tk, "_own")),
+        [*tk, "_own"],
     )
-    sd = s_.join(d, on_time, "full")
-    score_dur = sd.filter(F.col("_score")).select(*tk, "Session_score", "Duration")
-    lone_dur = sd.filter(F.col("_score").isNull()).select(*[F.col("_d" + k).alias(k) for k in tk], "Duration")
+    keys = scores.select(*K, SOLO).unionByName(alone.select(*K, SOLO))
+    return rows.select(*tk, SOLO, "Session_score", "Duration"), keys
+
 
-    sessions = _score_side(score_dur)
+def session_report(bundles: DataFrame, components: DataFrame | None = None) -> DataFrame:
+    """``components``: the same bundles read without sample text (``FACT_FIELDS``), for
+    the symptoms, scores, durations and repetitions; unset, ``bundles`` serves both."""
+    speed, rng = movement_sides(bundles)
+    facts = fact_rows(bundles if components is None else components)
+    sessions, session_keys = timed_sides(facts)
+    reps = _side(facts, C.REPETITIONS).select(*K, F.col(C.QUANTITY).alias("Total_reps"))
     sides = [
         (_with_solo(speed, "speed"), ["Min_speed", "Max_speed", "Mean_speed"]),
         (_with_solo(rng, "range"), ["Min_range", "Max_range", "Mean_range"]),
-        (flags, list(C.SYMPTOMS.values())),
+        (flag_side(facts), list(C.SYMPTOMS.values())),
     ]
-    skeleton = reduce(
-        DataFrame.unionByName, [s.select(*K, SOLO) for s, _ in sides] + [sessions.select(*K, SOLO)]
-    ).distinct()
-    main = reduce(lambda acc, s: _attach(acc, s[0], s[1]), sides, skeleton)
-    main = _attach_splittable(main, sessions, [C.START, "Session_score", "Duration"])
-
-    left_cols = [c for c in COLUMNS if c != "Total_reps"]
-    main = main.select(*left_cols)
-    lone = lone_dur.select(*[F.col(c) if c in lone_dur.columns else F.lit(None).alias(c) for c in left_cols])
-    lone = lone.select(*[F.col(c).cast(main.schema[c].dataType) for c in left_cols])
-    y = main.unionByName(lone)
-
-    r = reps.select(*[F.col(k).alias("_r" + k) for k in K], "Total_reps")
-    on_key = reduce(lambda a, b: a & b, [F.col(k) == F.col("_r" + k) for k in K])
-    z = y.join(r, on_key, "full")
-    return z.select(
-        *[F.coalesce(F.col(k), F.col("_r" + k)).alias(k) for k in K],
-        *[c for c in left_cols if c not in K],
-        "Total_reps",
-    )
-
-
-def _score_side(score_dur: DataFrame) -> DataFrame:
-    """Score rows with their matched durations. The discriminator hashes the
-    score row only, so all duration matches of one score row share it."""
-    solo = F.when(
-        _any_null(K),
-        F.concat(F.lit("score:"), F.xxhash64(*K, C.START, "Session_score").cast("string")),
-    )
-    return score_dur.withColumn(SOLO, solo)
+    others = reduce(DataFrame.unionByName, [s.select(*K, SOLO) for s, _ in sides])
+    skeleton = _presence([*K, SOLO], _o=others, _s=session_keys)
+    main = reduce(lambda acc, s: _attach(acc, s[0], s[1]), sides, skeleton.select(*K, SOLO))
+    main = _product(main, _completed(sessions, skeleton.filter(~F.col("_s")).select(*K, SOLO)), [*K, SOLO])
+
+    # Repetitions meet every row of their K; only null key parts keep rows apart here.
+    own = F.when(_any_null(K), F.col(SOLO)).alias("_own")
+    rep = reps.withColumn("_own", F.when(_any_null(K), F.concat(F.lit("reps:"), F.xxhash64(*K, "Total_reps").cast("string"))))
+    met = _presence([*K, "_own"], _m=skeleton.select(*K, own), _r=rep)
+    main = _completed(main.withColumn("_own", own), met.filter(~F.col("_m")).select(*K, "_own"))
+    rep = _completed(rep, met.filter(~F.col("_r")).select(*K, "_own"))
+    return _product(main, rep, [*K, "_own"]).select(*COLUMNS)

@@ -3,6 +3,7 @@ driver's flat tables, and the result sink."""
 
 from equilibra.sources.bundles import (
     BUNDLE_SCHEMA,
+    FACT_FIELDS,
     FLAG_FIELDS,
     QUANTITY_FIELDS,
     REPORT_FIELDS,
@@ -17,6 +18,7 @@ from equilibra.sources.publish import publish, publish_all, read_published
 
 __all__ = [
     "BUNDLE_SCHEMA",
+    "FACT_FIELDS",
     "FLAG_FIELDS",
     "QUANTITY_FIELDS",
     "REPORT_FIELDS",

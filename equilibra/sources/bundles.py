@@ -74,6 +74,7 @@ FLAG_FIELDS = SESSION_FIELDS + ("entry.resource.component.valueBoolean",)
 QUANTITY_FIELDS = SESSION_FIELDS + ("entry.resource.component.valueQuantity.value",)
 SAMPLE_FIELDS = SESSION_FIELDS + ("entry.resource.component.valueSampledData.data",)
 TIMED_FIELDS = SAMPLE_FIELDS + ("entry.resource.component.valueSampledData.extension.valueString",)
+FACT_FIELDS = tuple(dict.fromkeys(FLAG_FIELDS + QUANTITY_FIELDS))
 REPORT_FIELDS = tuple(dict.fromkeys(FLAG_FIELDS + QUANTITY_FIELDS + SAMPLE_FIELDS))
 
 
@@ -124,17 +125,23 @@ def load_bundle(
     """A catalog table by name, or files at a path in any Spark format.
 
     With ``format`` unset, a name known to the catalog is read as a table and
-    anything else as Parquet files. Delta works the same way once its package
-    is on the session's classpath (``format="delta"``).
+    anything else as Parquet files. Delta needs its package on the session's
+    classpath (``format="delta"``, untested here; without ``fields``, as it takes
+    no schema from its reader).
 
     ``fields`` (e.g. ``FLAG_FIELDS``) reads files with the file schema
     narrowed to those nested leaves. Spark prunes nested columns of a scan
     only down to the first array whose elements are read in more than one
     field, so without this every product would read every component's sample
     text; with it a columnar source reads just the listed leaf columns.
+    By catalog name, the table's own files are read in this way, with its
+    partition columns; partitions must lie under the table's location. A view, or
+    a table of another format than ``FILE_TABLES``, raises with ``fields``.
     """
     if format is None and _is_table(spark, source):
-        return spark.table(source)
+        return spark.table(source) if not fields else _table_files(spark, source, fields)
+    if fields and format == "delta":
+        raise ValueError("fields can't narrow a Delta read: leave fields unset")
     reader = spark.read.format(format or "parquet")
     if options:
         reader = reader.options(**options)
@@ -142,3 +149,20 @@ def load_bundle(
         full = reader.load(source).schema  # file metadata only
         reader = reader.schema(prune_schema(full, fields))
     return reader.load(source)
+
+
+#: Table formats that are plain files under one location.
+FILE_TABLES = ("parquet", "orc", "json")
+
+
+def _table_files(spark: SparkSession, name: str, fields: tuple[str, ...] | list[str]) -> DataFrame:
+    """The table's files with its schema narrowed to ``fields`` and its partition columns."""
+    said = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    names = [c for c, _ in said]
+    details = dict(said[names.index("# Detailed Table Information") + 1 :]) if "# Detailed Table Information" in names else {}
+    provider, location = details.get("Provider", "").lower(), details.get("Location")
+    if provider not in FILE_TABLES or not location:
+        raise ValueError(f"{name} isn't a table of files ({', '.join(FILE_TABLES)}): fields can't narrow it")
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    schema = prune_schema(spark.table(name).schema, [*fields, *parts])
+    return spark.read.format(provider).schema(schema).load(location)

@@ -6,7 +6,7 @@ import pytest
 
 from equilibra import codes as C
 from equilibra.plans import PRODUCT_FIELDS, PRODUCTS
-from equilibra.sources import load_bundle
+from equilibra.sources import FACT_FIELDS, SAMPLE_FIELDS, load_bundle
 
 
 def _plan(spark, df):
@@ -55,3 +55,17 @@ def test_report_shares_scans(spark, small_bundles):
     final = _plan(spark, df).split("== Initial Plan ==")[0].split("\n\n")[0]
     assert final.count("Scan parquet") <= 3
     assert "ReusedExchange" in final
+
+
+def test_report_joins(spark, small_bundles):
+    """Three left joins, three inner joins of completed sides; sample text read by one scan."""
+    df = PRODUCTS["session_report"](
+        load_bundle(spark, small_bundles, fields=SAMPLE_FIELDS), load_bundle(spark, small_bundles, fields=FACT_FIELDS)
+    )
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = _plan(spark, df).split("== Initial Plan ==")[0]
+    tree = text.split("\n\n")[0]
+    assert len(re.findall(r"Join \w+", tree)) <= 7
+    scans = re.findall(r"ReadSchema: (struct<.*)", text)
+    assert len([x for x in scans if "valueSampledData" in x]) <= 1 or len(set(x for x in scans if "valueSampledData" in x)) == 1

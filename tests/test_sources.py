@@ -1,5 +1,7 @@
 """Bundle loading: narrowed schemas and catalog names."""
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from equilibra.plans import PRODUCT_FIELDS, PRODUCTS
@@ -33,3 +35,26 @@ def test_load_bundle_path_and_catalog_name(spark, small_bundles):
     a = PRODUCTS["vision_weekly_sum"](narrowed)
     b = PRODUCTS["vision_weekly_sum"](by_name)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_catalog_table_is_narrowed_and_keeps_partitions(spark, small_bundles, tmp_path):
+    full = load_bundle(spark, small_bundles).withColumn("site", F.size("entry"))
+    full.write.partitionBy("site").option("path", str(tmp_path / "t")).saveAsTable("equilibra_saved_bundles")
+    try:
+        df = load_bundle(spark, "equilibra_saved_bundles", fields=FLAG_FIELDS)
+        assert df.columns == ["entry", "site"]
+        assert "valueSampledData" not in df.schema.simpleString()
+        ours = PRODUCTS["vision_weekly_sum"](df)
+        assert "valueSampledData" not in ours._jdf.queryExecution().executedPlan().toString()
+        theirs = PRODUCTS["vision_weekly_sum"](spark.table("equilibra_saved_bundles"))
+        assert ours.count() > 0 and ours.exceptAll(theirs).count() == 0 and theirs.exceptAll(ours).count() == 0
+    finally:
+        spark.sql("DROP TABLE equilibra_saved_bundles")
+
+
+def test_fields_are_never_ignored(spark, small_bundles):
+    load_bundle(spark, small_bundles).createOrReplaceTempView("equilibra_view_bundles")
+    with pytest.raises(ValueError, match="fields"):
+        load_bundle(spark, "equilibra_view_bundles", fields=FLAG_FIELDS)
+    with pytest.raises(ValueError, match="fields"):
+        load_bundle(spark, small_bundles, format="delta", fields=FLAG_FIELDS)
