@@ -14,6 +14,7 @@ that summation order does not decide equality.
 from __future__ import annotations
 
 import importlib.util
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -25,9 +26,11 @@ from equilibra import oracle
 from equilibra.operators import flatten_nested, observations, sample_rows, timed_samples
 from equilibra.oracle import STD_DIGITS
 from equilibra.plans import PRODUCTS, SYMPTOM_KEYS
-from equilibra.plans.scores import score_session_mean, score_session_sum, score_weekly_mean, score_weekly_sum
-from equilibra.plans.symptoms import symptom_reported, symptom_weekly_sum
-from equilibra.sources import event_bundle, publish, read_published, session_bundle
+from equilibra.plans.movement import movement_statistics
+from equilibra.plans.scores import score_session_mean, score_session_sum, score_statistics, score_weekly_mean, score_weekly_sum
+from equilibra.plans.symptoms import symptom_reported, symptom_statistics, symptom_weekly_sum
+from equilibra.session import shared_dir
+from equilibra.sources import FLAG_FIELDS, event_bundle, load_bundle, publish, read_published, session_bundle
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ALL_CODES = [
@@ -80,14 +83,27 @@ def _samples(code: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(session_bundles(spark, sf_dir), code)
 
 
-def _samples_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timed_samples(session_bundles(spark, sf_dir), C.RANGE_OF_MOVEMENT)
+def _samples_timed(code: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timed_samples(session_bundles(spark, sf_dir), code)
+
+
+def _statistics(fn: Callable[[DataFrame], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(fn(session_bundles(spark, sf_dir)))
+
+
+def _load_bundle_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the bundles as a table, read it by name without sample text, run a product."""
+    name = f"bundles_{uuid.uuid4().hex}"
+    session_bundles(spark, sf_dir).write.option("path", f"{shared_dir(spark)}/tables/{name}").saveAsTable(name)
+    bundles = load_bundle(spark, name, fields=FLAG_FIELDS)
+    spark.sql(f"DROP TABLE {name}")  # its files stay: the path is our own
+    return PRODUCTS["vision_weekly_sum"](bundles)
 
 
 def _publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a product with the sink and read it back."""
     df = PRODUCTS["disorientation_weekly_sum"](session_bundles(spark, sf_dir))
-    name = "disorientation_weekly_sum_" + sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_")
+    name = f"disorientation_weekly_sum_{uuid.uuid4().hex}"
     publish(df, name)
     return read_published(spark, name)
 
@@ -152,7 +168,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "observations": _observations,
             "samples_range": partial(_samples, C.RANGE_OF_MOVEMENT),
             "samples_speed": partial(_samples, C.SPEED_OF_MOVEMENT),
-            "samples_timed": _samples_timed,
+            "samples_timed": partial(_samples_timed, C.RANGE_OF_MOVEMENT),
+            "samples_timed_speed": partial(_samples_timed, C.SPEED_OF_MOVEMENT),
+            "symptom_statistics": partial(_statistics, symptom_statistics),
+            "score_statistics": partial(_statistics, score_statistics),
+            "range_statistics": partial(_statistics, partial(movement_statistics, code=C.RANGE_OF_MOVEMENT)),
+            "speed_statistics": partial(_statistics, partial(movement_statistics, code=C.SPEED_OF_MOVEMENT)),
+            "load_bundle_table": _load_bundle_table,
             "publish_roundtrip": _publish_roundtrip,
         }
     )
@@ -195,6 +217,12 @@ def oracle_sql() -> dict[str, str]:
     sql["samples_range"] = oracle.sample_rows(rng)
     sql["samples_speed"] = oracle.sample_rows(spd)
     sql["samples_timed"] = oracle.timed_samples(rng)
+    sql["samples_timed_speed"] = oracle.timed_samples(spd)
+    sql["symptom_statistics"] = oracle.symptom_statistics()
+    sql["score_statistics"] = oracle.score_statistics()
+    sql["range_statistics"] = oracle.movement_statistics(rng)
+    sql["speed_statistics"] = oracle.movement_statistics(spd)
+    sql["load_bundle_table"] = oracle.symptom_weekly_sum(C.ABNORMAL_VISION)
     sql["publish_roundtrip"] = oracle.symptom_weekly_sum(C.DISORIENTATION)
     ev = oracle.EVENT_BASE
     for name, code in SYMPTOM_KEYS.items():

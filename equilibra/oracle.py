@@ -118,6 +118,16 @@ def symptom_reported(code: str, base: str = SESSION_BASE) -> str:
     )
 
 
+
+def symptom_statistics() -> str:
+    days = (
+        f'days AS (SELECT DISTINCT "Date", "Week", "Patient_id", {E}, code, flag '
+        f"FROM comp WHERE code IN ({', '.join(repr(c) for c in C.SYMPTOMS)}))"
+    )
+    sums = ", ".join(f"SUM(CASE WHEN code = '{c}' THEN CAST(flag AS DOUBLE) END) AS \"{n}\"" for c, n in C.SYMPTOMS.items())
+    return _with(SESSION_BASE, days) + f'\nSELECT "Patient_id", "Week", {E}, {sums} FROM days GROUP BY "Patient_id", "Week", {E}'
+
+
 _SCORES = (
     f'sc AS (SELECT DISTINCT "Patient_id", {E}, qty AS "Session_score", "Date", "Week", "Start_time" '
     f"FROM comp WHERE code = '{C.SESSION_SCORE}')"
@@ -132,6 +142,12 @@ def score(keys: list[str], fn: str, name: str, base: str = SESSION_BASE, digits:
     return _with(base, _SCORES) + f'\nSELECT {k}, {agg} AS "{name}" FROM sc GROUP BY {k}'
 
 
+def score_statistics() -> str:
+    k = f'"Patient_id", "Date", "Week", {E}'
+    stats = 'count("Session_score") AS "Scores", avg("Session_score") AS "Mean", sum("Session_score") AS "Sum"'
+    return _with(SESSION_BASE, _SCORES) + f"\nSELECT {k}, {stats} FROM sc GROUP BY {k}"
+
+
 def _samples(code: str) -> list[str]:
     return [
         f"mo AS (SELECT DISTINCT \"Patient_id\", {E}, {T}, data, dt, \"Date\", \"Week\" "
@@ -151,6 +167,12 @@ def movement(code: str, keys: list[str], fn: str, name: str) -> str:
     return _with(SESSION_BASE, *_samples(code)) + f'\nSELECT {k}, {agg} AS "{name}" FROM smp GROUP BY {k}'
 
 
+def movement_statistics(code: str) -> str:
+    k = f'"Patient_id", "Date", "Week", {E}, {T}'
+    stats = f'avg(col) AS "Mean", ROUND(stddev_samp(col), {STD_DIGITS}) AS "STD", min(col) AS "Min", max(col) AS "Max"'
+    return _with(SESSION_BASE, *_samples(code)) + f"\nSELECT {k}, {stats} FROM smp GROUP BY {k}"
+
+
 def _timed(code: str) -> list[str]:
     return [
         f"mt AS (SELECT DISTINCT \"Patient_id\", {E}, {T}, data, times, dt, \"Date\", \"Week\" "

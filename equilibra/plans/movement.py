@@ -79,6 +79,13 @@ def movement_max(bundles: DataFrame, code: str, keys: list[str], *, sort: bool =
     return _stat(observation_moments(bundles, [code]), keys, max_of, "Max_value", sort)
 
 
+def movement_statistics(bundles: DataFrame, code: str) -> DataFrame:
+    """Mean, STD, Min and Max per (Patient, Date, Week, exercise, text), from one scan and one DISTINCT."""
+    merged = grouped(observation_moments(bundles, [code]), DETAIL_KEYS, {"_a": MOMENTS}, std=True)
+    stats = {"Mean": mean_of, "STD": stddev_of, "Min": min_of, "Max": max_of}
+    return merged.select(*DETAIL_KEYS, *[f("_a").alias(name) for name, f in stats.items()])
+
+
 # --- range of movement (404979006) ---------------------------------------------
 
 

@@ -52,3 +52,11 @@ def score_session_sum(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
 
 def score_weekly_sum(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
     return _product(session_scores(bundles), [C.WEEK, C.PATIENT], F.sum, "Sum_of_weekly_score", C.WEEK, sort)
+
+
+def score_statistics(bundles: DataFrame) -> DataFrame:
+    """Number, mean and sum of the scores of a (Patient, Date, Week, exercise), from one
+    scan and one DISTINCT; the four products are re-aggregations of it."""
+    keys = [C.PATIENT, C.DATE, C.WEEK, C.DISPLAY]
+    stats = [F.count(SCORE).alias("Scores"), F.mean(SCORE).alias("Mean"), F.sum(SCORE).alias("Sum")]
+    return session_scores(bundles).groupBy(*keys).agg(*stats)

@@ -47,3 +47,12 @@ def symptom_reported(bundles: DataFrame, code: str) -> DataFrame:
     return symptom_days(bundles, code).select(
         C.PATIENT, C.DATE, C.WEEK, C.DISPLAY, flag_text(C.FLAG).alias(C.SYMPTOMS[code])
     )
+
+
+def symptom_statistics(bundles: DataFrame) -> DataFrame:
+    """The weekly sums of all four symptoms, one column each, from one scan and one
+    DISTINCT; null where a symptom has no flag that week."""
+    code = F.col(C.COMPONENT_CODE)
+    days = observations(bundles, list(C.SYMPTOMS)).select(C.DATE, C.WEEK, C.PATIENT, C.DISPLAY, C.COMPONENT_CODE, C.FLAG).distinct()
+    sums = [F.sum(F.when(code == c, F.col(C.FLAG).cast("double"))).alias(name) for c, name in C.SYMPTOMS.items()]
+    return days.groupBy(C.PATIENT, C.WEEK, C.DISPLAY).agg(*sums)
