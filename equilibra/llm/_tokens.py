@@ -9,7 +9,10 @@ trailing run of symbols other than the apostrophe, so ``word,`` is ``word`` and
 ``,``. New pieces of letters alone go to the library many at a time, as one text;
 its ids are cut where the vocabulary marks a word's start or end. A text with
 any other white space (runs, tabs, at either end) goes to the library whole, if
-spaces count. ``tests/llm`` holds the result against plain whole-text calls.
+spaces count. An added token written out in a text (such as ``<|endoftext|>``) is
+its one id, as in the library's plain call; a text with one, in upper or lower case,
+goes to the library whole too. ``tests/llm`` holds the result against plain
+whole-text calls.
 """
 
 from __future__ import annotations
@@ -131,7 +134,7 @@ class Encoder:
         # One text a call: threads of the library's own would gain nothing inside a task.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaces_kept = spaces_kept
         self.end = np.array([end_id], ID).tobytes()
         vocabulary = self.tokenizer.get_vocab()
@@ -146,9 +149,19 @@ class Encoder:
         return self._spaced(texts) if self.spaces_kept else self._dropped(texts)
 
     def _dropped(self, texts: list[str | None]) -> list[bytes]:
-        cut = [[] if not t else self.pieces.whole(t) if MARK in t else apart(self._lower(t)).replace("\n", " ").split(" ") for t in texts]
+        cut: list = []
+        for t in texts:
+            low = self._lower(t) if t else ""
+            if t and (MARK in t or self._adds(t) or self._adds(low)):
+                cut.append(self.pieces.whole(t))
+            else:
+                cut.append(apart(low).replace("\n", " ").split(" ") if t else [])
         return self._joined(cut, 0)
 
+    def _adds(self, text: str) -> bool:
+        """Whether an added token is written out in the text."""
+        return any(x in text for x in self.added)
+
     @staticmethod
     def _lower(text: str) -> str:
         """Lower case where the library's, which knows no final sigma, comes to the same."""
@@ -157,7 +170,7 @@ class Encoder:
     def _spaced(self, texts: list[str | None]) -> list[bytes]:
         cut: list = []
         for t in texts:
-            if t and MARK not in t and self._single(t):
+            if t and MARK not in t and not self._adds(t) and self._single(t):
                 cut.append(apart(t).replace("\n", " \n").split(" "))
             else:
                 cut.append(self.pieces.whole(t) if t else b"")

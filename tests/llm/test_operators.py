@@ -54,6 +54,24 @@ def test_tokens_equal_whole_texts(docs):
             assert enc.ids(texts) == [enc.pieces.whole(t) + enc.end for t in texts]
 
 
+def test_added_tokens_are_one_id(spark):
+    from tokenizers import Tokenizer
+
+    texts = ["a b <|endoftext|> c", "a b <|ENDOFTEXT|> c", "x<|endoftext|>. y\n<|startoftext|>", "<|endoftext|>", "<|EndOfText|>,\n<|endoftext|>, z", "Σ <|endoftext|> e\u0301 <|STARTOFTEXT|>", "a b c, d."]
+    for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        plain = Tokenizer.from_file(tokenizer(name))
+        want = [np.array([*plain.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for t in texts]
+        enc = Encoder(tokenizer(name), spaced)
+        assert enc.ids(texts) == want and [enc.ids([t])[0] for t in reversed(texts)] == want[::-1]
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        if spaced:
+            got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in seekable.round_trip(frame, tokenizer(name)).collect()}
+            assert got == {k: (len(x) // 4, zlib.crc32(x)) for k, x in enumerate(want)}
+        else:
+            got = {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in packing.pack(frame, tokenizer(name)).collect()}
+            assert got == {k: (len(x) // 4, zlib.crc32(x)) for k, x in enumerate(want)}
+
+
 def test_filter_merges_losslessly():
     rng = np.random.default_rng(1)
     prints = rng.choice(rng.integers(0, 2**63, 400).astype(np.uint64), 3000)
