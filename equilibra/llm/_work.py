@@ -57,20 +57,6 @@ def in_words(df: DataFrame, h: Column, words: DataFrame, bits: int = 22) -> Data
     )
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame, bits: int = 22) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``ids``; null ids stay.
-
-    Rows that the bit table rules out pass without a shuffle; only the others
-    take part in the exact anti-join.
-    """
-    ids = ids.select(F.col("doc_id").alias("__id")).filter("__id is not null").distinct()
-    words = bit_words(ids.select(F.xxhash64("__id").alias("h")), bits)
-    marked = in_words(docs, F.xxhash64("doc_id"), words, bits)
-    sure = marked.filter(~F.col("__hit")).drop("__hit")
-    asked = marked.filter("__hit").drop("__hit")
-    return sure.unionByName(asked.join(ids, F.col("doc_id") == F.col("__id"), "left_anti"))
-
-
 def files_of(uri: str):
     """(file system, path in it) of a shared folder, for files that aren't tables."""
     from pyarrow import fs

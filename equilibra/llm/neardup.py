@@ -30,6 +30,7 @@ size. A hot group folds (copies) or is met by pivots in joins that adaptive exec
 Defined cases: null text counts as empty; texts without words are equal to each
 other and to nothing else. The class is named by its least doc_id (null if all
 are null). Repeated rows are members like others. Further columns are ignored.
+``drop_near_copies`` decides by row: rows of one doc_id may have different texts.
 An empty table gives no rows. Very long texts are cut nowhere.
 """
 
@@ -39,10 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from equilibra.llm._work import SPACE, bit_words, drop_ids, in_words, run_dir, saved
+from equilibra.llm._work import SPACE, bit_words, in_words, run_dir, saved
 from equilibra.llm.components import components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
@@ -160,10 +161,13 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
+def norm_text() -> Column:
+    return F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), SPACE, " "))
+
+
 def normal(docs: DataFrame) -> DataFrame:
     """(doc_id, norm, node): the words of the text with single spaces, and their hash."""
-    norm = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), SPACE, " "))
-    return docs.select("doc_id", norm.alias("norm")).withColumn("node", F.xxhash64("norm"))
+    return docs.select("doc_id", norm_text().alias("norm")).withColumn("node", F.xxhash64("norm"))
 
 
 def signatures(texts: DataFrame) -> DataFrame:
@@ -312,9 +316,8 @@ def block_links(members: DataFrame, clusters: DataFrame, linked: DataFrame, sets
     return dealt.groupBy("kind", "group").applyInArrow(compare, "a long, b long")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, class_size, kept."""
-    folder = run_dir(docs.sparkSession, "neardup")
+def grouped(docs: DataFrame, folder: str) -> DataFrame:
+    """(doc_id, node, group) of each row of ``docs``; a class is the rows of one group."""
     docs = docs.select("doc_id", "text")
     signed = saved(signatures(normal(docs)), f"{folder}/signed")
     bands = signed.select("node", "n", F.explode("bands").alias("key"))
@@ -328,13 +331,36 @@ def classes(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         linked = components(links.unionByName(more), f"{folder}/all")
     mine = signed.select("doc_id", "node").join(linked.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
-    mine = saved(mine.select("doc_id", F.coalesce("component", "node").alias("group")), f"{folder}/groups")
+    return mine.select("doc_id", "node", F.coalesce("component", "node").alias("group"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id, class_size, kept."""
+    folder = run_dir(docs.sparkSession, "neardup")
+    mine = saved(grouped(docs, folder).select("doc_id", "group"), f"{folder}/groups")
     named = mine.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).withColumnRenamed("group", "of")
     named = saved(named, f"{folder}/named")
     return mine.join(named, F.col("group") == F.col("of")).select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the least doc_id. Rows without a doc_id stay."""
-    found = classes(docs)
-    return drop_ids(docs, found.filter("not kept").select("doc_id"))
+    """``docs`` with one row of each class: the one of the least doc_id (null only if all are),
+    and of its texts the one of the least hash. Rows are told apart by doc_id and text; of
+    rows that repeat both, one stays."""
+    folder = run_dir(docs.sparkSession, "neardup")
+    mine = saved(grouped(docs, folder), f"{folder}/groups")
+    first = mine.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
+    first = saved(first.select(F.col("group").alias("of"), F.col("first.doc_id").alias("first_id"), F.col("first.node").alias("first_node")), f"{folder}/first")
+    mine = mine.join(first, F.col("group") == F.col("of"))
+    mine = mine.withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("first_node")))
+    marks = mine.groupBy("doc_id", "node", "stays").agg(F.count(F.lit(1)).alias("rows")).filter("not stays or rows > 1")
+    marks = saved(marks.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"), F.col("stays").alias("__stays")), f"{folder}/marks")
+    # Rows that the bit table rules out pass without a shuffle.
+    id_ = F.col("doc_id").cast("long")
+    marked = in_words(docs, F.xxhash64(id_), bit_words(marks.select(F.xxhash64("__id").alias("h"))))
+    asked = marked.filter("__hit").withColumn("__text", F.xxhash64(norm_text()))
+    asked = asked.join(marks, id_.eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__node")), "left")
+    out = marked.filter(~F.col("__hit")).select(docs.columns).unionByName(asked.filter("__stays is null").select(docs.columns))
+    if not marks.filter("__stays").isEmpty():
+        out = out.unionByName(asked.filter("__stays").dropDuplicates(["__id", "__node"]).select(docs.columns))
+    return out

@@ -122,6 +122,14 @@ def test_near_classes(spark, docs, edge, none):
     assert neardup.classes(none).count() == 0 and neardup.drop_near_copies(none).count() == 0
 
 
+def test_near_copies_are_dropped_by_row(spark):
+    a, b, c = ("".join(f"{w}{k} " for k in range(80)) for w in ("north", "south", "east"))
+    rows = [(1, a), (2, a + "more"), (2, "a text of its own"), (3, b), (3, b), (3, b.upper()), (None, c), (None, c), (4, "x"), (None, "x"), (5, "a text of its own"), (2, None), (6, "clean")]
+    got = neardup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    ids = Counter((r["doc_id"], (r["text"] or "").lower()) for r in got)
+    assert ids == Counter([(1, a), (2, "a text of its own"), (3, b), (None, c), (4, "x"), (2, ""), (6, "clean")])
+
+
 def test_blocks_find_what_pivots_leave():
     rng = np.random.default_rng(2)
     base = np.sort(rng.integers(0, 2**63, 100).astype(np.uint64))
