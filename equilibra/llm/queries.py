@@ -49,7 +49,7 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], SHARDS, SLOTS)
+    return sharding.round_trip(table(spark, sf_dir, "documents"), ["doc_id"], SHARDS, SLOTS).select("doc_id", "slot", "shard")
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,9 @@ import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from equilibra.llm._work import run_dir
 
 
 def shard_names(count: int) -> list[str]:
@@ -59,3 +62,12 @@ def assign_shards(df: DataFrame, keys: list[str], shards: list[str], size: int =
 def write_shards(df: DataFrame, keys: list[str], shards: list[str], path: str, size: int = 65_537) -> None:
     """One folder per shard; tasks write their own files, so no shard goes through one task."""
     assign_shards(df, keys, shards, size).write.partitionBy("shard").parquet(path)
+
+
+def round_trip(df: DataFrame, keys: list[str], shards: list[str], size: int = 65_537) -> DataFrame:
+    """Write all columns of ``df`` into shards and read them back from there."""
+    path = f"{run_dir(df.sparkSession, 'sharding')}/shards"
+    write_shards(df, keys, shards, path, size)
+    rest = [f for f in df.schema.fields if f.name not in ("slot", "shard")]
+    schema = T.StructType([*rest, T.StructField("slot", T.LongType()), T.StructField("shard", T.StringType())])
+    return df.sparkSession.read.schema(schema).parquet(path)

@@ -1,5 +1,6 @@
 """The operators against brute force, on edge cases and on sf0.001."""
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -8,10 +9,11 @@ from itertools import product
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from equilibra.llm import _text, classifier, dedup, mixing, neardup, packing, quality, seekable, sharding, urls, warc
 from equilibra.llm._tokens import Encoder
-from equilibra.llm.queries import tokenizer
+from equilibra.llm.queries import queries, tokenizer
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, node int, kept string"
@@ -216,6 +218,23 @@ def test_sharding(edge):
     assert got.count() == len(EDGE) and got.columns == [*edge.columns, "slot", "shard"]
 
 
+def test_shards_hold_every_row_once(spark, docs, edge, none):
+    frame = edge.drop("node", "h")
+    got = sharding.round_trip(frame, ["doc_id"], sharding.shard_names(7), 101)
+    table = sharding.lookup_table(sharding.shard_names(7), 101)
+    want = Counter()
+    for doc_id, text, lang, source, n_chars, _, _, kept in EDGE:
+        slot = int(hashlib.md5(str("" if doc_id is None else doc_id).encode()).hexdigest()[:15], 16) % 101
+        want[(doc_id, text, lang, source, n_chars, kept, slot, f"shard-{table[slot]:03d}")] += 1
+    assert got.columns == [*frame.columns, "slot", "shard"] and Counter(map(tuple, got.collect())) == want
+    assert all(f"/shard={r['shard']}/" in r["f"] for r in got.select("shard", F.input_file_name().alias("f")).collect())
+    assert sharding.round_trip(none, ["doc_id"], sharding.shard_names(7), 101).count() == 0
+    query = queries()["op7_sharding"](spark, SF)
+    assert query.columns == ["doc_id", "slot", "shard"] and all("/shard=" in f for f in query.inputFiles())
+    whole = spark.read.parquet(query.inputFiles()[0].split("/shard=")[0])
+    assert Counter(map(tuple, whole.select(docs.columns).collect())) == Counter(map(tuple, docs.collect()))
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(4)
     field = quality.Field(rng.normal(size=13), rng.normal(size=(2, 2)))
