@@ -7,6 +7,8 @@ carries is allowed and ignored (nested column pruning keeps it out of the scan).
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -135,8 +137,9 @@ def load_bundle(
     field, so without this every product would read every component's sample
     text; with it a columnar source reads just the listed leaf columns.
     By catalog name, the table's own files are read in this way, with its
-    partition columns; partitions must lie under the table's location. A view, or
-    a table of another format than ``FILE_TABLES``, raises with ``fields``.
+    partition columns and read options. It raises with ``fields`` where the files
+    or partitions under the table's location aren't those of the catalog, for a
+    view, and for a table of another format than ``FILE_TABLES``.
     """
     if format is None and _is_table(spark, source):
         return spark.table(source) if not fields else _table_files(spark, source, fields)
@@ -153,6 +156,7 @@ def load_bundle(
 
 #: Table formats that are plain files under one location.
 FILE_TABLES = ("parquet", "orc", "json")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _table_files(spark: SparkSession, name: str, fields: tuple[str, ...] | list[str]) -> DataFrame:
@@ -165,4 +169,24 @@ def _table_files(spark: SparkSession, name: str, fields: tuple[str, ...] | list[
         raise ValueError(f"{name} isn't a table of files ({', '.join(FILE_TABLES)}): fields can't narrow it")
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     schema = prune_schema(spark.table(name).schema, [*fields, *parts])
-    return spark.read.format(provider).schema(schema).load(location)
+    files = spark.read.format(provider).options(**_table_options(name, details)).schema(schema).load(location)
+    if set(files.inputFiles()) != set(spark.table(name).inputFiles()):
+        raise ValueError(f"{name}: the files under {location} aren't those of the catalog's partitions: fields can't narrow it")
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect() if parts else []:
+        held = [(k, unquote(v)) for k, v in (x.split("=", 1) for x in row["partition"].split("/"))]
+        quoted = [(k, "null" if v in ("null", NO_VALUE) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'") for k, v in held]
+        at = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({', '.join(f'`{k}` = {v}' for k, v in quoted)})").collect()
+        own = next(r["data_type"] for r in at if r["col_name"] == "Location")
+        folder = "/".join(f"{k}={NO_VALUE if q == 'null' else v}" for (k, v), (_, q) in zip(held, quoted, strict=True))
+        if not unquote(unquote(own)).rstrip("/").endswith("/" + unquote(folder)):
+            raise ValueError(f"{name}: partition {row['partition']} lies at {own}: fields can't narrow it")
+    return files
+
+
+def _table_options(name: str, details: dict[str, str]) -> dict[str, str]:
+    """The read options that the table was made with."""
+    said = details.get("Storage Properties", "[]").strip()[1:-1]
+    pairs = [x.split("=", 1) for x in said.split(", ")] if said else []
+    if any(len(x) < 2 or "(redacted)" in x[1] for x in pairs):
+        raise ValueError(f"{name}: its options can't be read from the catalog: fields can't narrow it")
+    return {k: v for k, v in pairs if k not in ("path", "serialization.format")}

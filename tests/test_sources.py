@@ -1,5 +1,7 @@
 """Bundle loading: narrowed schemas and catalog names."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,3 +60,28 @@ def test_fields_are_never_ignored(spark, small_bundles):
         load_bundle(spark, "equilibra_view_bundles", fields=FLAG_FIELDS)
     with pytest.raises(ValueError, match="fields"):
         load_bundle(spark, small_bundles, format="delta", fields=FLAG_FIELDS)
+
+
+def test_tables_of_moved_and_dropped_partitions_raise(spark, tmp_path):
+    def made(name: str) -> str:
+        spark.sql(f"CREATE TABLE {name} (id STRING, d STRING) USING parquet PARTITIONED BY (d) LOCATION '{tmp_path}/{name}'")
+        spark.sql(f"INSERT INTO {name} VALUES ('a', 'x y'), ('b', 'z'), ('c', NULL)")
+        return name
+
+    names = [f"t{k}_{uuid.uuid4().hex[:8]}" for k in range(4)]
+    try:
+        whole = load_bundle(spark, made(names[0]), fields=["id"])
+        assert sorted((r["id"], r["d"] or "") for r in whole.collect()) == [("a", "x y"), ("b", "z"), ("c", "")]
+        spark.sql(f"ALTER TABLE {made(names[1])} PARTITION (d='z') SET LOCATION '{tmp_path}/elsewhere'")
+        spark.sql(f"CREATE TABLE {names[2]} (id STRING, d STRING) USING parquet PARTITIONED BY (d) LOCATION '{tmp_path}/{names[1]}'")
+        spark.sql(f"ALTER TABLE {names[2]} ADD PARTITION (d='z')")
+        for name in names[1:3]:
+            with pytest.raises(ValueError, match="narrow"):
+                load_bundle(spark, name, fields=["id"])
+        (tmp_path / "json").mkdir()
+        (tmp_path / "json/a.json").write_text('{\n"id": "a",\n"d": "x"\n}')
+        spark.sql(f"CREATE TABLE {names[3]} (id STRING, d STRING) USING json OPTIONS (multiLine true) LOCATION '{tmp_path}/json'")
+        assert [r["id"] for r in load_bundle(spark, names[3], fields=["id"]).collect()] == ["a"]
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
