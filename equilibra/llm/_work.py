@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from equilibra.session import shared_dir
@@ -29,6 +29,31 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names like those given that no column of ``df`` has, whatever its letters' case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered(df: DataFrame, path: str, name: str) -> DataFrame:
+    """Write a table whose rows have a dense number ``name`` (long, from 0) in the order of
+    its partitions. No row moves: a row's number is its place in its partition plus the rows
+    of earlier partitions, of which one count each is summed and broadcast."""
+    table = saved(df.withColumn(name, F.monotonically_increasing_id()), path)
+    part = F.shiftright(name, 33)
+    counts = table.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0).cast("long")).alias("__before"))
+    place = F.col(name).bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__before")
+    return table.join(F.broadcast(before), part == F.col("__part")).withColumn(name, place).drop("__part", "__before")
+
+
 def bit_words(hashes: DataFrame, bits: int = 22) -> DataFrame:
     """Set of 64-bit hashes (column ``h``) as at most 2**(bits-6) rows of 64 bits.
 

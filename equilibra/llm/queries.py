@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from equilibra.llm import classifier, dedup, mixing, neardup, packing, quality, seekable, sharding, urls, warc
+from equilibra.llm import classifier, dedup, mixing, neardup, packing, quality, resampling, seekable, sharding, toxicity, urls, warc, whitening
 from equilibra.llm._work import table
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -65,6 +65,18 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": near_duplicates,
@@ -77,6 +89,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules,
         "op9_quality_classifier": quality_scores,
         "op10_warc": captures,
+        "op11_whitening": whitened,
+        "op12_resampling": resampled,
+        "op13_toxicity": toxic_scores,
     }
 
 
