@@ -131,7 +131,7 @@ def _has(module: str) -> bool:
     return importlib.util.find_spec(module) is not None
 
 
-def _optional_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def optional_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     if _has("equilibra.llm"):
         from equilibra.llm import queries as llm
@@ -183,7 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[f"events_{name}_reported"] = partial(_events, partial(symptom_reported, code=code))
     for key, (fn, col) in EVENT_SCORES.items():
         out[f"events_{key}"] = partial(_events_rounded, fn, col)
-    out.update(_optional_queries())
+    out.update(optional_queries())
     return out
 
 

@@ -80,7 +80,7 @@ def segment_statistics(bundles: DataFrame, code: str, stats: tuple[str, ...] = t
     change no statistic, and a filter before it would parse the texts twice.
     """
     moments = {f"_a{j}": f"_m{j}" for j in range(len(C.SEGMENTS))}
-    merged = grouped(segment_moments(bundles, code), KEYS, moments, F.sum(INSIDE).alias(INSIDE), std="STD" in stats).filter(F.col(INSIDE) > 0)
+    merged = grouped(segment_moments(bundles, code), KEYS, moments, (INSIDE,), std="STD" in stats).filter(F.col(INSIDE) > 0)
     cols = [
         STATS[stat](f"_a{j}").alias(f"{segment_label(lo, hi)} {stat}")
         for stat in stats

@@ -1,12 +1,17 @@
 """Mergeable moments against Spark's own aggregates on exploded samples."""
 
 import math
+import random
+import struct
+from fractions import Fraction
+from functools import reduce
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equilibra.operators.moments import add_moments, grouped, max_of, mean_of, min_of, stddev_of
+from equilibra.operators.moments import add_moments, cells, grouped, max_of, mean_of, merge_cells, min_of, stddev_of
 
 values = st.one_of(st.none(), st.integers(-1000, 1000).map(lambda i: i / 8))
 observation = st.tuples(st.integers(0, 2), st.lists(values, max_size=6))
@@ -62,8 +67,40 @@ def test_single_sample_std_null_and_nan(spark):
 
 
 def test_constant_values_give_zero_std(spark):
-    out = _merged(spark, [(0, [0.1] * 5), (0, [0.1] * 3)]).first()
-    assert out["std"] == 0.0 or out["std"] < 1e-7
+    for value in (0.1, 12345.6, -1e30, 1e-30):
+        out = _merged(spark, [(0, [value] * 5), (0, [value] * 3), (0, [value])]).first()
+        assert out["std"] == 0.0
+
+
+def test_deviations_far_below_the_means(spark):
+    """Against exact rational arithmetic over the float32 values, at every size of numbers."""
+    rng = random.Random(4)
+    for base, spread in ((12345.6, 0.1), (1e-6, 1e-9), (3e30, 1e25), (1023.99, 0.02), (-5.0, 1e-5), (0.0, 1.0)):
+        obs = [[struct.unpack("f", struct.pack("f", base + rng.uniform(-spread, spread)))[0] for _ in range(rng.randint(1, 9))] for _ in range(300)]
+        flat = [Fraction(x) for v in obs for x in v]
+        mean = sum(flat) / len(flat)
+        want = math.sqrt(sum((x - mean) ** 2 for x in flat) / (len(flat) - 1))
+        got = _merged(spark, [(0, v) for v in obs]).first()["std"]
+        assert math.isclose(got, want, rel_tol=1e-9), (base, spread, got, want)
+
+
+def test_states_merge_in_any_order(spark):
+    """Cells of parts, merged in either order, are the cells of the whole, to the last bit."""
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 2), [rng.gauss(50, 9) for _ in range(rng.randint(0, 5))]) for _ in range(200)]
+    parts = [cells(add_moments(spark.createDataFrame(x, "g int, v array<float>"), "m", F.col("v")), ["g"], F.col("m")) for x in (rows[:70], rows[70:90], rows[90:])]
+    exact = ["g", "P", "N", "MN", "MX", "A", "B"]
+    whole = cells(add_moments(spark.createDataFrame(rows, "g int, v array<float>"), "m", F.col("v")), ["g"], F.col("m"))
+    for order in (parts, parts[::-1]):
+        merged = merge_cells(reduce(DataFrame.unionByName, order), ["g"])
+        assert sorted(map(repr, merged.select(exact).collect())) == sorted(map(repr, whole.select(exact).collect()))
+
+
+def test_no_row_per_sample(spark):
+    """The plans of standard deviations generate nothing that grows with the samples."""
+    df = add_moments(spark.createDataFrame([(1, [1.0])], "g int, v array<float>"), "m", F.col("v"))
+    plan = grouped(df, ["g"], {"a": "m"}, std=True)._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "sequence(" not in plan and "Join" not in plan
 
 
 def test_stddev_of_large_means(spark):

@@ -21,10 +21,11 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """Every query of the library itself; ``tests/llm`` holds the others against brute force."""
+    assert set(entry.queries()) - set(entry.optional_queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     res = compare(spark, con, key, SF_SMALL)
     assert res["cols_equal"], res
