@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,49 +54,69 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(PLAIN).split()
 
 
-def cells(token: bytes) -> list[int]:
-    """The cells of a token's prefixes and of itself, shortest first."""
+def cells(words: list[bytes]) -> np.ndarray:
+    """(words x levels): the cells of each token's prefixes and of itself, shortest first."""
     crc, mask = zlib.crc32, (1 << CELL_BITS) - 1
-    return [*(crc(token[:k], k) & mask for k in PREFIXES), crc(token) & mask]
+    levels = [[crc(w[:k], k) for w in words] for k in PREFIXES] + [list(map(crc, words))]
+    return np.array(levels, np.int64).T.reshape(-1, len(PREFIXES) + 1) & mask
 
 
-class LogOdds(dict):
-    """Cache: token -> log-odds less the drift. At ``room`` entries it starts anew."""
+def batched(texts: list[str | None], room: int = 2_000_000) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """(place of the first, tokens of each) of texts, some at a time: ``room`` characters, or one text."""
+    held, first, size = [], 0, 0
+    for k, text in enumerate(texts):
+        if held and size + len(text or "") > room:
+            yield first, held
+            held, first, size = [], k, 0
+        held.append(tokens(text))
+        size += len(text or "")
+    if held:
+        yield first, held
 
-    def __init__(self, toxic: np.ndarray, other: np.ndarray, totals: tuple[float, float], room: int = 50_000):
-        super().__init__()
-        self.toxic, self.other, self.room = toxic, other, room
+
+class LogOdds:
+    """Scores of tokens: log-odds less the drift."""
+
+    def __init__(self, toxic: np.ndarray, other: np.ndarray, totals: tuple[float, float]):
+        self.toxic, self.other = toxic, other
         self.base = (totals[0] + 0.5) / (sum(totals) + 1.0)
 
-    def without(self, token: bytes, toxic: int = 0, other: int = 0) -> float:
-        """The score if ``toxic`` and ``other`` of the token's occurrences had not been counted."""
-        rate = self.base
-        for c in cells(token):
-            t, o = max(0.0, float(self.toxic[c]) - toxic), max(0.0, float(self.other[c]) - other)
+    def _scores(self, places: np.ndarray, label: int | None = None) -> np.ndarray:
+        """By rows of cells; with a label, as if one text of it had not been counted."""
+        rate = np.full(len(places), self.base)
+        for level in places.T:
+            t, o = self.toxic[level].astype(float), self.other[level].astype(float)
+            if label is not None:
+                t, o = (np.maximum(t - 1, 0), o) if label else (t, np.maximum(o - 1, 0))
             rate = (t + PRIOR * rate) / (t + o + PRIOR)
-        return math.log(rate / (1 - rate)) - math.log(self.base / (1 - self.base)) - DRIFT
-
-    def __missing__(self, token: bytes) -> float:
-        if len(self) >= self.room:
-            self.clear()
-        self[token] = out = self.without(token)
-        return out
-
-    def of(self, words: list[bytes], label: int | None = None) -> np.ndarray:
-        """Scores of a text's tokens; of a training text (with its label) as if it had not been counted.
-
-        The k-th time a token speaks for toxicity in a text, it counts a k-th."""
-        if label is None:
-            out = [self[w] for w in words]
-        else:
-            own = {w: self.without(w, label, 1 - label) for w in set(words)}
-            out = [own[w] for w in words]
-        seen: dict[bytes, int] = {}
-        for j, (w, x) in enumerate(zip(words, out, strict=True)):
-            if x > 0:
-                seen[w] = k = seen.get(w, 0) + 1
-                out[j] = x / k
-        return np.array(out)
+        return np.log(rate / (1 - rate)) - math.log(self.base / (1 - self.base)) - DRIFT
+
+    def of(self, texts: list[list[bytes]], labels: list[int] | None = None) -> Iterator[np.ndarray]:
+        """The scores of each text's tokens, in order; of training texts (with their labels) as if
+        the text had not been counted. The k-th time a token speaks for toxicity, it counts a k-th."""
+        number: dict[bytes, int] = {}
+        for words in texts:
+            for w in words:
+                if w not in number:
+                    number[w] = len(number)
+        places = cells(list(number))
+        known = None if labels else self._scores(places)
+        for k, words in enumerate(texts):
+            ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            if known is None:
+                own, back = np.unique(ids, return_inverse=True)
+                out = self._scores(places[own], labels[k])[back]
+            else:
+                out = known[ids]
+            up = np.flatnonzero(out > 0)
+            mine = ids[up]
+            if len(mine) > 1:
+                order = np.argsort(mine, kind="stable")
+                same = mine[order]
+                first = np.flatnonzero(np.r_[True, same[1:] != same[:-1]])
+                times = np.arange(len(same)) - np.repeat(first, np.diff(np.r_[first, len(same)])) + 1
+                out[up[order]] /= times
+            yield out
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -151,10 +172,16 @@ def fold() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS
 
 
+#: Labelled rows (16 bytes each) that are broadcast to the texts at most; beyond it both sides are shuffled.
+BROADCAST_LABELS = 4_000_000
+
+
 def training(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, label) of the labelled rows outside the held-out fold."""
     marked = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marked.filter(fold() != 0), "doc_id")
+    marked = marked.filter(fold() != 0)
+    few = labels.count() <= BROADCAST_LABELS
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marked) if few else marked, "doc_id")
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:
@@ -166,20 +193,15 @@ def count_tokens(rows: DataFrame) -> DataFrame:
 
         counts = np.zeros((2, 1 << CELL_BITS), np.int64)
         totals = [0, 0]
-        known: dict[bytes, list[int]] = {}
         for batch in batches:
-            for label, text in zip(batch.column("label").to_pylist(), batch.column("text"), strict=True):
-                words = set(tokens(text.as_py()))
-                totals[label] += len(words)
-                if len(known) > 50_000:
-                    known.clear()
-                for word in words.difference(known):
-                    known[word] = cells(word)
-                flat = np.array([c for w in words for c in known.get(w) or cells(w)], np.int64)
-                if len(flat):
-                    counts[label] += np.bincount(flat, minlength=1 << CELL_BITS) if len(flat) > 1 << 16 else 0
-                    if len(flat) <= 1 << 16:
-                        np.add.at(counts[label], flat, 1)
+            labels = batch.column("label").to_pylist()
+            for first, texts in batched(batch.column("text").to_pylist()):
+                for label in (0, 1):
+                    often = Counter(w for words, y in zip(texts, labels[first:], strict=False) if y == label for w in set(words))
+                    if often:
+                        times = np.fromiter(often.values(), np.int64, len(often))
+                        np.add.at(counts[label], cells(list(often)), times[:, None])
+                        totals[label] += int(times.sum())
         for label in (0, 1):
             some = np.flatnonzero(counts[label])
             n = np.r_[counts[label][some], totals[label]]
@@ -218,15 +240,15 @@ def passages(docs: DataFrame, model: Model, labels: bool = False) -> DataFrame:
         names = [x.split()[0] for x in schema.split(", ")]
         rows, size = [], 0
         for batch in batches:
-            given = batch.column("label").to_pylist() if labels else [None] * len(batch)
-            for doc, text, label in zip(batch.column("doc_id").to_pylist(), batch.column("text"), given, strict=True):
-                words = tokens(text.as_py())
-                found = maximal_segments(odds.of(words, label))
-                rows.append((doc, len(words), *([x[k] for x in found] for k in range(3)), *([label] if labels else [])))
-                size += 1 + len(found)
-                if size > 50_000:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=False)], names=names)
-                    rows, size = [], 0
+            ids, given = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist() if labels else None
+            for first, texts in batched(batch.column("text").to_pylist()):
+                for k, scores in enumerate(odds.of(texts, given[first : first + len(texts)] if given else None), first):
+                    found = maximal_segments(scores)
+                    rows.append((ids[k], len(scores), *([x[j] for x in found] for j in range(3)), *([given[k]] if given else [])))
+                    size += 1 + len(found)
+                    if size > 50_000:
+                        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=False)], names=names)
+                        rows, size = [], 0
         if rows:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=False)], names=names)
 
