@@ -6,8 +6,8 @@ characters other than white space. So a text is cut there, and the library is
 asked once for each different piece; the ids of a text are the ids of its pieces
 joined. Nor does a word reach over the border from a letter or digit to a
 trailing run of symbols other than the apostrophe, so ``word,`` is ``word`` and
-``,``. New pieces of letters alone go to the library many at a time, as one text;
-its ids are cut where the vocabulary marks a word's start or end. A text with
+``,``. A new piece of letters alone is one word to both, so the library's model is asked
+for its merges directly; any other piece goes through the whole library. A text with
 any other white space (runs, tabs, at either end) goes to the library whole, if
 spaces count. An added token written out in a text (such as ``<|endoftext|>``) is
 its one id, as in the library's plain call; a text with one, in upper or lower case,
@@ -21,6 +21,8 @@ import os
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 
 import numpy as np
 
@@ -32,6 +34,17 @@ MARK = "\0"
 CROWDED = (" ,", " .", "\n,", "\n.", ",,", ",.", ".,", "..")
 
 
+#: Letters up to here are letters to every version of Unicode that the libraries know.
+PLAIN = "\u0400"
+
+
+def byte_characters() -> dict[int, str]:
+    """How both vocabularies write the 256 bytes: printable Latin-1 as itself, others from 256 on."""
+    plain = {b: chr(b) for b in range(256) if chr(b).isprintable() and b not in (32, 173)}
+    others = [b for b in range(256) if b not in plain]
+    return plain | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 def apart(text: str) -> str:
     """Plain prose with commas and stops set off as pieces that no space precedes (marked so).
 
@@ -44,79 +57,68 @@ def apart(text: str) -> str:
 
 
 class Pieces(dict):
-    """Cache: piece of text -> its ids as little-endian unsigned 32-bit bytes.
+    """Cache: piece of text -> its ids as little-endian unsigned 32-bit bytes; one that isn't known
+    yet is noted in ``new`` and gives None.
 
-    A piece follows ``prefix`` in its text, or the line feed that it starts with.
-    ``mark`` tells for each id whether a word of letters starts (or, without
-    ``prefix``, ends) with it. Pieces of over ``longest`` characters aren't kept.
-    At ``room`` entries the cache starts anew, taking over what is asked for again.
+    A piece follows ``prefix`` in its text, or the line feed that it starts with. Pieces
+    of over ``longest`` characters aren't kept for other texts.
     """
 
-    def __init__(self, tokenizer, prefix: str, mark: np.ndarray, room: int, longest: int = 64):
+    def __init__(self, tokenizer, prefix: str, longest: int = 64):
         super().__init__()
-        self.tokenizer, self.prefix, self.mark, self.room, self.longest = tokenizer, prefix, mark, room, longest
+        self.tokenizer, self.model, self.prefix, self.longest = tokenizer, tokenizer.model, prefix, longest
+        self.table = byte_characters()
+        self.head = "".join(self.table[b] for b in prefix.encode())
+        self.new: set[str] = set()
+        self.long: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        self.feed = int(np.frombuffer(self.whole("\n") or b"\xff" * 4, ID)[0])
+        self.feed = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         # This call gives the same ids as encode() and keeps no offsets.
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID).tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes | None:
+        self.new.add(piece)
+        return None
+
+    def _alone(self, piece: str) -> bytes:
         first = piece[:1]
         return self.whole(piece[1:] if first == MARK else piece if first == "\n" else self.prefix + piece)
 
-    def tail(self, symbols: str) -> bytes:
+    def _word(self, letters: str, head: str) -> bytes:
+        """A word of plain letters is cut by no rule: the vocabulary's merges are asked for directly."""
+        word = head + letters.encode().decode("latin-1").translate(self.table)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
+
+    def _known(self, piece: str) -> bytes:
+        """The ids of a piece without tail."""
+        if piece.isalpha() and max(piece) < PLAIN:
+            return self._word(piece, self.head)
+        if piece[:1] == "\n" and piece[1:].isalpha() and max(piece) < PLAIN:
+            return self.feed + self._word(piece[1:], "")
+        return self._alone(piece)
+
+    def _tail(self, symbols: str) -> bytes:
         if symbols not in self.tails:
             if len(self.tails) >= 10_000:
                 self.tails.clear()
             self.tails[symbols] = self.whole(symbols)
         return self.tails[symbols]
 
-    def learn(self, pieces: set[str]) -> None:
-        """Take in what of ``pieces`` is new."""
-        if len(self) >= self.room // 2:
-            self.before = dict(self)
-            self.clear()
-        words, ended, longest = set(), [], self.longest
-        for p in pieces.difference(self):
-            if len(p) > longest:
-                continue
-            if p in self.before:
-                self[p] = self.before[p]
-            elif p.isalpha() or p[:1] == "\n" and p[1:].isalpha():
-                words.add(p)
-            elif (word := p.rstrip(TAILS)) and word[-1].isalnum() and word is not p:
-                ended.append((p, word))
-                if word not in self and word not in words:
-                    if word in self.before:
-                        self[word] = self.before[word]
-                    elif word.isalpha():
-                        words.add(word)
-                    else:
-                        self[word] = self[word]
+    def learn(self) -> None:
+        """Take in what was asked for."""
+        new, self.new = self.new, set()
+        for p in new:
+            word = p.rstrip(TAILS)
+            if len(p) > self.longest:
+                self.long[p] = self._alone(p)
+            elif word is not p and word and word[-1].isalnum():
+                if (ids := self.get(word)) is None:
+                    self[word] = ids = self._known(word)
+                self[p] = ids + self._tail(p[len(word) :])
             else:
-                self[p] = self[p]
-        self._words(list(words))
-        for p, word in ended:
-            self[p] = self[word] + self.tail(p[len(word) :])
-
-    def _words(self, words: list[str]) -> None:
-        """Pieces of letters, or a line feed and letters, many in a text."""
-        spaced, fed = [w for w in words if w[0] != "\n"], [w for w in words if w[0] == "\n"]
-        for some in (x[at : at + 4000] for x in (spaced, fed) for at in range(0, len(x), 4000)):
-            lines = some[0][0] == "\n"
-            data = self.whole("".join(some) if lines else " " + " ".join(some))
-            ids = np.frombuffer(data, ID)
-            cuts = np.flatnonzero(ids == self.feed if lines else self.mark[ids])
-            if len(cuts) != len(some):
-                self.update((w, self[w]) for w in some)
-                continue
-            ends, start = [*(4 * cuts[1:]).tolist(), len(data)] if self.prefix else (4 * cuts + 4).tolist(), 0
-            for w, end in zip(some, ends, strict=True):
-                self[w] = data[start:end]
-                start = end
+                self[p] = self._known(p)
 
 
 class Encoder:
@@ -124,78 +126,61 @@ class Encoder:
 
     path: tokenizer file of the ``tokenizers`` library. spaces_kept: whether a
     space belongs to the word after it (byte-level) or is dropped (and case with
-    it). room: most entries of a cache, about 250 bytes each; a full cache starts
-    anew, which changes no result.
+    it). room: entries of the cache, about 220 bytes each, after which it starts anew;
+    that changes no result.
     """
 
-    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 300_000):
+    def __init__(self, path: str, spaces_kept: bool, end_id: int = END_ID, room: int = 400_000):
         from tokenizers import Tokenizer
 
         # One text a call: threads of the library's own would gain nothing inside a task.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.spaces_kept = spaces_kept
+        self.spaces_kept, self.room = spaces_kept, room
         self.end = np.array([end_id], ID).tobytes()
-        vocabulary = self.tokenizer.get_vocab()
-        mark = np.zeros(max(vocabulary.values()) + 1, bool)
-        # How the two vocabularies write a space before, and the end of, a word.
-        mark[[k for v, k in vocabulary.items() if (v.startswith("Ġ") if spaces_kept else v.endswith("</w>"))]] = True
-        self.pieces = Pieces(self.tokenizer, " " if spaces_kept else "", mark, room)
-        self.feed = self.pieces.whole("\n")
+        self.pieces = Pieces(self.tokenizer, " " if spaces_kept else "")
+        self.skip = len(self.pieces.feed) if spaces_kept else 0
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as the empty text: only the end id."""
-        return self._spaced(texts) if self.spaces_kept else self._dropped(texts)
-
-    def _dropped(self, texts: list[str | None]) -> list[bytes]:
-        cut: list = []
-        for t in texts:
-            low = self._lower(t) if t else ""
-            if t and (MARK in t or self._adds(t) or self._adds(low)):
-                cut.append(self.pieces.whole(t))
-            else:
-                cut.append(apart(low).replace("\n", " ").split(" ") if t else [])
-        return self._joined(cut, 0)
+        pieces, skip, end = self.pieces, self.skip, self.end
+        cut = [(self._spaced(t) if self.spaces_kept else self._dropped(t)) if t else b"" for t in texts]
+        found = [x if isinstance(x, bytes) else list(map(pieces.__getitem__, x)) for x in cut]
+        pieces.learn()
+        for x, f in zip(cut, found, strict=True):
+            if isinstance(f, list) and None in f:
+                for k in compress(range(len(f)), map(not_, f)):
+                    ids = pieces.get(x[k])
+                    f[k] = pieces.long[x[k]] if ids is None else ids
+        pieces.long.clear()
+        if len(pieces) > self.room:
+            pieces.clear()
+        return [(f if isinstance(f, bytes) else b"".join(f)[skip:]) + end for f in found]
+
+    def _dropped(self, text: str) -> list[str] | bytes:
+        """Pieces in lower case, or the ids where the library's lower case isn't surely the same: it
+        composes first, then lowers character by character (no final sigma), and composes no more."""
+        low = text.lower()
+        if MARK in text or not text.isascii() and ("Σ" in text or not (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low))):
+            return self.pieces.whole(text)
+        if self._adds(text) or self._adds(low):
+            return self.pieces.whole(text)
+        return apart(low).replace("\n", " ").split(" ")
 
     def _adds(self, text: str) -> bool:
         """Whether an added token is written out in the text."""
         return any(x in text for x in self.added)
 
-    @staticmethod
-    def _lower(text: str) -> str:
-        """Lower case where the library's, which knows no final sigma, comes to the same."""
-        return text.lower() if text.isascii() or "Σ" not in text and unicodedata.is_normalized("NFC", text) else text
-
-    def _spaced(self, texts: list[str | None]) -> list[bytes]:
-        cut: list = []
-        for t in texts:
-            if t and MARK not in t and not self._adds(t) and self._single(t):
-                cut.append(apart(t).replace("\n", " \n").split(" "))
-            else:
-                cut.append(self.pieces.whole(t) if t else b"")
-        lists = [x for x in cut if isinstance(x, list)]
-        for x in lists:
-            x[0] = "\n" + x[0]
-        return self._joined(cut, len(self.feed))
-
-    def _joined(self, cut: list, skip: int) -> list[bytes]:
-        """The ids of lists of pieces (without the first ``skip`` bytes), or those given."""
-        known = self.pieces.get
-        found = [x if isinstance(x, bytes) else list(map(known, x)) for x in cut]
-        gaps = [[] if isinstance(f, bytes) else [k for k, ids in enumerate(f) if ids is None] for f in found]
-        self.pieces.learn({x[k] for x, gap in zip(cut, gaps, strict=True) for k in gap})
-        for x, f, gap in zip(cut, found, gaps, strict=True):
-            for k in gap:
-                f[k] = self.pieces[x[k]]
-        return [(f if isinstance(f, bytes) else b"".join(f)[skip:]) + self.end for f in found]
-
-    @staticmethod
-    def _single(text: str) -> bool:
-        """Whether all white space is single spaces and line feeds between other characters."""
-        if any(x in text for x in ("  ", " \n", "\n ", "\n\n")) or text[0] in " \n" or text[-1] in " \n":
-            return False
-        return text.replace("\n", "").isprintable() or len(text.split()) == text.count(" ") + text.count("\n") + 1
+    def _spaced(self, text: str) -> list[str] | bytes:
+        """Pieces, or the ids where white space is more than single spaces and line feeds between
+        other characters (any other white space isn't printable)."""
+        feeds = text.replace("\n", "") if "\n" in text else text
+        if not feeds.isprintable() or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or self._adds(text):
+            return self.pieces.whole(text)
+        out = apart(text).replace("\n", " \n").split(" ")
+        out[0] = "\n" + out[0]
+        return out
 
 
 @lru_cache(maxsize=4)

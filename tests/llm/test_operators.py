@@ -1,7 +1,9 @@
 """The operators against brute force, on edge cases and on sf0.001."""
 
 import hashlib
+import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from itertools import product
@@ -56,6 +58,34 @@ def test_tokens_equal_whole_texts(docs):
             assert enc.ids(texts) == [enc.pieces.whole(t) + enc.end for t in texts]
 
 
+def random_texts(count, seed):
+    """Texts of all kinds of characters, white space, marks, cases and normal forms."""
+    rng, kinds = random.Random(seed), {}
+    for c in range(0x30000):
+        kinds.setdefault(unicodedata.category(chr(c)), []).append(chr(c))
+    kinds.pop("Cs")
+    white = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["\u200b", "\ufeff", "\xad"]
+    usual = [*"  \n\n,.!?;:*$%&#|'-_09aAbBzZ", "\u0130", "Σ", "ς", "ß", "ﬁ", "e\u0301", "\u0307", "\u0345", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "\0", "Ω", "the", "House,", "été.", "straße ", "Привет", "日本"]
+
+    def piece():
+        k = rng.random()
+        return rng.choice(usual) if k < 0.5 else rng.choice(white) if k < 0.6 else chr(rng.randrange(32, 0x590)) if k < 0.8 else rng.choice(rng.choice(list(kinds.values())))
+
+    return ["".join(piece() for _ in range(rng.choice((1, 2, 3, 4, 6, 9, 14)))) for _ in range(count)]
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_random_texts_have_the_library_s_ids(name, spaced):
+    from tokenizers import Tokenizer
+
+    plain, enc = Tokenizer.from_file(tokenizer(name)), Encoder(tokenizer(name), spaced, room=3000)
+    texts = ["\xa0\xa0foo bar", "\xa0\tfoo", "foo\xa0", "a \xa0b", "\u0130,Σ", "\u0130,e\u0301", *random_texts(12_000, 11)]
+    for k in range(0, len(texts), 300):
+        some = texts[k : k + 300]
+        want = [np.array([*plain.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for t in some]
+        assert enc.ids(some) == want
+
+
 def test_added_tokens_are_one_id(spark):
     from tokenizers import Tokenizer
 
