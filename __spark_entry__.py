@@ -24,13 +24,17 @@ from pyspark.sql import functions as F
 from equilibra import codes as C
 from equilibra import oracle
 from equilibra.operators import flatten_nested, observations, sample_rows, timed_samples
+from equilibra.operators.rejects import quarantine
+from equilibra.operators.shred import flat, shred, sizes, write_shredded
 from equilibra.oracle import STD_DIGITS
 from equilibra.plans import PRODUCTS, SYMPTOM_KEYS
+from equilibra.plans.families import FAMILIES, publish_products
 from equilibra.plans.movement import movement_statistics
+from equilibra.plans.refresh import refresh, stored_product
 from equilibra.plans.scores import score_session_mean, score_session_sum, score_statistics, score_weekly_mean, score_weekly_sum
 from equilibra.plans.symptoms import symptom_reported, symptom_statistics, symptom_weekly_sum
 from equilibra.session import shared_dir
-from equilibra.sources import FLAG_FIELDS, event_bundle, load_bundle, publish, read_published, session_bundle
+from equilibra.sources import FLAG_FIELDS, build_index, event_bundle, hard_bundle, load_bundle, publish, publish_version, read_published, read_version, session_bundle, write_clustered
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ALL_CODES = [
@@ -108,6 +112,98 @@ def _publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, name)
 
 
+def hard_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_bundle(_table(spark, sf_dir, "orders"), _table(spark, sf_dir, "lineitem"))
+
+
+def _hard(fn: Callable[[DataFrame], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product of the hard fixture, whose values aren't whole: measures are rounded for comparison."""
+    df = fn(hard_bundles(spark, sf_dir))
+    return df.select(*[F.round(F.col(f"`{c}`").cast("double"), STD_DIGITS).alias(c) if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
+def _own_dir(spark: SparkSession, name: str) -> str:
+    """A new folder of one run under the shared one."""
+    return f"{shared_dir(spark)}/runs/{name}-{uuid.uuid4().hex}"
+
+
+def _skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the event bundles by their codes, index them, read only files with the code."""
+    folder = _own_dir(spark, "skipping")
+    source = write_clustered(event_bundles(spark, sf_dir), f"{folder}/bundles", 16)
+    index = build_index(spark, source, f"{folder}/index")
+    return symptom_weekly_sum(load_bundle(spark, source, fields=FLAG_FIELDS, index=index, codes=[C.DISORIENTATION]), C.DISORIENTATION)
+
+
+def _refreshed(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold the hard bundles into stored state in three parts, each repeating some of the one
+    before and holding late dates, and make a product of the state."""
+    folder = _own_dir(spark, "refresh")
+    hard_bundles(spark, sf_dir).withColumn("of", F.pmod(F.xxhash64("entry"), F.lit(4))).write.parquet(f"{folder}/bundles")
+    bundles = spark.read.parquet(f"{folder}/bundles")
+    for some in ("of < 2", "of in (1, 2)", "of >= 2"):
+        refresh(bundles.filter(some).drop("of"), folder, grain="yyyy")
+    df = stored_product(spark, name, folder)
+    return df.select(*[F.round(c, STD_DIGITS).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
+def _rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarantine(hard_bundles(spark, sf_dir), [C.RANGE_OF_MOVEMENT, C.SPEED_OF_MOVEMENT])
+
+
+def _family(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish all products of a family from its shared frame; one of them as read back."""
+    folder = _own_dir(spark, "families")
+    family = next(f for f in FAMILIES.values() if name in f.products)
+    publish_products(hard_bundles(spark, sf_dir), family.products, root=folder)
+    df = read_version(spark, name, root=folder)
+    return df.select(*[F.round(F.col(f"`{c}`").cast("double"), STD_DIGITS).alias(c) if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
+def _published_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish a report with wrong values in some years, then replace those years alone."""
+    folder, year = _own_dir(spark, "versions"), F.year(C.DATE)
+    right = PRODUCTS["headache_reported"](session_bundles(spark, sf_dir))
+    publish_version(right.withColumn("Headache", F.when(year % 2 == 0, "?").otherwise(F.col("Headache"))), "report", root=folder, by=year)
+    publish_version(right.filter(year % 2 == 0), "report", root=folder, by=year)
+    return read_version(spark, "report", root=folder)
+
+
+def _shredded(spark: SparkSession, sf_dir: str) -> dict:
+    folder = _own_dir(spark, "shredding")
+    return write_shredded(shred(session_bundles(spark, sf_dir), f"{folder}/numbered"), f"{folder}/tables")
+
+
+def _shred_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store one table per array, join them all: the rows of the generic flatten."""
+    return flat(_shredded(spark, sf_dir))
+
+
+def _shredded_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sizes(spark, _shredded(spark, sf_dir))
+
+
+#: Products of the hard fixture.
+HARD = {
+    "hard_vision_weekly_sum": PRODUCTS["vision_weekly_sum"],
+    "hard_dizziness_reported": PRODUCTS["dizziness_reported"],
+    "hard_score_session_sum": PRODUCTS["score_session_sum"],
+    "hard_score_weekly_mean": PRODUCTS["score_weekly_mean"],
+    "hard_range_mean": PRODUCTS["range_mean"],
+    "hard_range_std": PRODUCTS["range_std"],
+    "hard_speed_std": PRODUCTS["speed_std"],
+    "hard_segment_mean_speed": PRODUCTS["segment_mean_speed"],
+    "hard_segment_std_range": PRODUCTS["segment_std_range"],
+    "hard_session_report": PRODUCTS["session_report"],
+    "year_vision_weekly_sum": partial(symptom_weekly_sum, code=C.ABNORMAL_VISION, with_year=True),
+    "year_score_weekly_sum": partial(score_weekly_sum, with_year=True),
+    "year_speed_std": partial(PRODUCTS["speed_std"], with_year=True),
+}
+#: One product of each family that is published from its shared frame.
+PUBLISHED = ("dizziness_reported", "score_weekly_mean", "range_std", "segment_mean_speed")
+REFRESHED = ("range_std", "speed_weekly_mean", "vision_weekly_sum", "score_weekly_sum")
+
+
 def _events(fn: Callable[[DataFrame], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn(event_bundles(spark, sf_dir))
 
@@ -176,8 +272,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "speed_statistics": partial(_statistics, partial(movement_statistics, code=C.SPEED_OF_MOVEMENT)),
             "load_bundle_table": _load_bundle_table,
             "publish_roundtrip": _publish_roundtrip,
+            "skipped_files": _skipped_files,
+            "published_version": _published_version,
+            "rejected_values": _rejected_values,
+            "shred_flatten": _shred_flatten,
+            "shredded_sizes": _shredded_sizes,
         }
     )
+    out.update({name: partial(_hard, fn) for name, fn in HARD.items()})
+    out.update({f"published_{name}": partial(_family, name) for name in PUBLISHED})
+    out.update({f"refreshed_{name}": partial(_refreshed, name) for name in REFRESHED})
     for name, code in SYMPTOM_KEYS.items():
         out[f"events_{name}_weekly_sum"] = partial(_events, partial(symptom_weekly_sum, code=code))
         out[f"events_{name}_reported"] = partial(_events, partial(symptom_reported, code=code))
@@ -224,7 +328,29 @@ def oracle_sql() -> dict[str, str]:
     sql["speed_statistics"] = oracle.movement_statistics(spd)
     sql["load_bundle_table"] = oracle.symptom_weekly_sum(C.ABNORMAL_VISION)
     sql["publish_roundtrip"] = oracle.symptom_weekly_sum(C.DISORIENTATION)
-    ev = oracle.EVENT_BASE
+    ev, hard = oracle.EVENT_BASE, oracle.HARD_BASE
+    sql["skipped_files"] = oracle.symptom_weekly_sum(C.DISORIENTATION, ev)
+    sql["published_version"] = oracle.symptom_reported(C.HEADACHE)
+    sql["shred_flatten"] = oracle.flattened_bundle()
+    sql["shredded_sizes"] = oracle.shredded_sizes()
+    sql["hard_vision_weekly_sum"] = sql["refreshed_vision_weekly_sum"] = oracle.symptom_weekly_sum(C.ABNORMAL_VISION, hard)
+    sql["hard_dizziness_reported"] = oracle.symptom_reported(C.DIZZINESS, hard)
+    sql["hard_score_session_sum"] = oracle.score([D, W, P], "sum", "Sum_of_session", hard)
+    sql["hard_score_weekly_mean"] = oracle.score([W, D, P, E], "avg", "Mean_of_weekly_score", hard, STD_DIGITS)
+    sql["refreshed_score_weekly_sum"] = oracle.score([W, P], "sum", "Sum_of_weekly_score", hard)
+    sql["hard_range_mean"] = oracle.movement(rng, detail, "avg", "Range_of_movement", hard, STD_DIGITS)
+    sql["hard_range_std"] = sql["refreshed_range_std"] = oracle.movement(rng, [W, E, T], "stddev_samp", "STD_value", hard)
+    sql["hard_speed_std"] = oracle.movement(spd, [P, W, E, T], "stddev_samp", "STD_value", hard)
+    sql["refreshed_speed_weekly_mean"] = oracle.movement(spd, [P, W, E], "avg", "Speed_of_movement", hard, STD_DIGITS)
+    sql["hard_segment_mean_speed"] = oracle.segment_groups(spd, "Mean", hard)
+    sql["hard_segment_std_range"] = oracle.segment_groups(rng, "STD", hard)
+    sql["hard_session_report"] = oracle.session_report(hard, STD_DIGITS)
+    for name in PUBLISHED:
+        sql[f"published_{name}"] = sql[f"hard_{name}"]
+    sql["rejected_values"] = oracle.rejected_values([rng, spd], hard)
+    sql["year_vision_weekly_sum"] = oracle.year_symptom(C.ABNORMAL_VISION, hard)
+    sql["year_score_weekly_sum"] = oracle.year_score(hard)
+    sql["year_speed_std"] = oracle.year_movement(spd, [P, E, T], hard)
     for name, code in SYMPTOM_KEYS.items():
         sql[f"events_{name}_weekly_sum"] = oracle.symptom_weekly_sum(code, ev)
         sql[f"events_{name}_reported"] = oracle.symptom_reported(code, ev)

@@ -2,21 +2,29 @@
 whole-stage codegen and no row crosses into Python."""
 
 from equilibra.functions.columns import (
+    WEEK_YEAR,
+    add_week_year,
     flag_text,
     iso_week,
+    iso_year,
     parse_float,
     patient_id,
     sample_tokens,
     session_date,
     start_time,
+    week_keys,
 )
 
 __all__ = [
+    "WEEK_YEAR",
+    "add_week_year",
     "flag_text",
     "iso_week",
+    "iso_year",
     "parse_float",
     "patient_id",
     "sample_tokens",
     "session_date",
     "start_time",
+    "week_keys",
 ]

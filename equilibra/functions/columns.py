@@ -7,7 +7,7 @@ plain cast of ``''`` or ``'garbage'`` fails the whole job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: patterns --------------------------------------------------
@@ -37,6 +37,25 @@ def iso_week(date: Column | str) -> Column:
     return F.weekofyear(_c(date))
 
 
+#: The ISO year that a week belongs to: 2021-01-01 lies in week 53 of 2020.
+WEEK_YEAR = "Week_year"
+
+
+def iso_year(date: Column | str) -> Column:
+    """The year of a date's ISO-8601 week."""
+    return F.extract(F.lit("YEAROFWEEK"), _c(date))
+
+
+def week_keys(with_year: bool) -> list[str]:
+    """The key columns of a week: without the year, as defined, or with it."""
+    return [WEEK_YEAR, "Week"] if with_year else ["Week"]
+
+
+def add_week_year(df: DataFrame, with_year: bool = True) -> DataFrame:
+    """Adds the week's year, if it is asked for, to rows with a ``Date``."""
+    return df.withColumn(WEEK_YEAR, iso_year("Date")) if with_year else df
+
+
 def start_time(effective: Column | str) -> Column:
     """``hh:mm:ss+hh:mm`` as written; ``''`` for ``Z``, negative offsets or
     fractional seconds."""

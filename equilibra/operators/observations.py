@@ -26,6 +26,13 @@ from pyspark.sql import types as T
 
 from equilibra import codes as C
 from equilibra.functions import iso_week, patient_id, session_date, start_time
+from equilibra.sources.schemas import conformed
+
+#: The arrays that are unnested; a frame that lacks one is read as if it were null there.
+_CODED = T.StructType([T.StructField("coding", T.ArrayType(T.StructType([T.StructField("code", T.StringType())])))])
+_SESSION = T.StructType([T.StructField("coding", T.ArrayType(T.StructType([T.StructField("code", T.StringType()), T.StructField("display", T.StringType())])))])
+_RESOURCE = T.StructType([T.StructField("code", _SESSION), T.StructField("component", T.ArrayType(T.StructType([T.StructField("code", _CODED)])))])
+NEEDED = T.StructType([T.StructField("entry", T.ArrayType(T.StructType([T.StructField("resource", _RESOURCE)])))])
 
 
 def _has(dtype: T.DataType, path: str) -> bool:
@@ -67,10 +74,14 @@ def observations(
     whose codes match, with the flattened column names of the reference and
     ``Patient_id``, ``Date``, ``Week``, ``Start_time`` added.
 
+    Paths that the schema lacks are read as null (``equilibra.sources.schemas``): without
+    components, or codings of them, there are no rows.
+
     ``times=True`` also unnests the sampled data's ``extension`` (outer: a
     component without one keeps a row whose time text is null).
     """
     wanted = sorted(set(component_codes))
+    bundles = conformed(bundles, NEEDED)
     entry_t = bundles.schema["entry"].dataType.elementType
     res_t = entry_t["resource"].dataType
     comp_t = res_t["component"].dataType.elementType
@@ -121,7 +132,7 @@ def observations(
     if times:
         ext = (
             comp["valueSampledData"]["extension"]["valueString"]
-            if _has(comp_t, "valueSampledData.extension")
+            if _has(comp_t, "valueSampledData.extension") and _has(comp_t["valueSampledData"].dataType["extension"].dataType.elementType, "valueString")
             else F.lit(None).cast("array<string>")
         )
         cols.append(F.explode_outer(ext).alias(C.SAMPLE_TIMES))

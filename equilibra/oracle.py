@@ -22,10 +22,20 @@ STD_DIGITS = 6
 
 _BRACKETS = r"(^\[\[\[)|(\]\]\]$)"
 
-# Components of the session fixture, one row each, from flat tables.
-SESSION_BASE = f"""
+
+def session_base(hard: bool = False) -> str:
+    """Components of the session fixture, one row each, from flat tables. ``hard``: with the
+    values of the hard fixture; what that repeats is here once, as DISTINCT would have it."""
+    q = "CAST(CAST(l_quantity * 0.37 AS DECIMAL(12,3)) AS VARCHAR)" if hard else "CAST(l_quantity AS VARCHAR)"
+    first, last = ("CASE WHEN ok % 6 = 0 THEN ' ' ELSE '' END", "CASE WHEN ok % 4 = 0 THEN ' n/a' ELSE '' END") if hard else ("''", "''")
+    dt, day, start = "strftime(o.ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'", "CAST(o.ts AS DATE)", "strftime(o.ts, '%H:%M:%S') || '+00:00'"
+    if hard:
+        dt = f"CASE WHEN o.o_orderkey % 11 = 0 THEN 'not a date' WHEN o.o_orderkey % 3 = 0 THEN strftime(o.ts, '%Y-%m-%dT%H:%M:%S') || 'Z' ELSE {dt} END"
+        day = f"CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE {day} END"
+        start = f"CASE WHEN o.o_orderkey % 11 = 0 OR o.o_orderkey % 3 = 0 THEN '' ELSE {start} END"
+    return f"""
 li AS (
-  SELECT l_orderkey AS ok, l_returnflag AS f, l_quantity AS q,
+  SELECT l_orderkey AS ok, l_returnflag AS f, l_quantity AS q, {q} AS qt,
          (l_linenumber - 1) * CASE WHEN l_returnflag = 'A' THEN 7500 ELSE 15000 END AS ms
   FROM lineitem),
 cnt AS (SELECT ok, count(*) AS n_lines FROM li GROUP BY ok),
@@ -33,16 +43,16 @@ sess AS (
   SELECT o.o_orderkey AS ok,
          CAST(o.o_custkey AS VARCHAR) AS "Patient_id",
          o.o_orderpriority AS {E},
-         strftime(o.ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS dt,
-         CAST(o.ts AS DATE) AS "Date",
-         CAST(weekofyear(CAST(o.ts AS DATE)) AS INTEGER) AS "Week",
-         strftime(o.ts, '%H:%M:%S') || '+00:00' AS "Start_time",
+         {dt} AS dt,
+         {day} AS "Date",
+         CAST(weekofyear({day}) AS INTEGER) AS "Week",
+         {start} AS "Start_time",
          coalesce(c.n_lines, 0) AS n_lines
   FROM (SELECT *, o_orderdate + to_seconds(CAST((o_orderkey * 37) % 86400 AS BIGINT)) AS ts FROM orders) o
   LEFT JOIN cnt c ON c.ok = o.o_orderkey),
 sig AS (
   SELECT ok, f,
-         '[[[' || string_agg(CAST(q AS VARCHAR), ' ' ORDER BY ms, q) || ']]]' AS data,
+         '[[[' || {first} || string_agg(qt, ' ' ORDER BY ms, q) || {last} || ']]]' AS data,
          '[[[' || string_agg(CAST(ms AS VARCHAR), ' ' ORDER BY ms, q) || ']]]' AS times
   FROM li GROUP BY ok, f),
 comp AS (
@@ -63,6 +73,9 @@ comp AS (
   UNION ALL SELECT s.*, '{C.REPETITIONS}', NULL, NULL, CAST(s.n_lines AS DOUBLE), NULL, NULL FROM sess s)
 """
 
+
+SESSION_BASE, HARD_BASE = session_base(), session_base(hard=True)
+
 # Components of the event fixture, one row per event.
 EVENT_BASE = f"""
 ev AS (
@@ -142,6 +155,25 @@ def score(keys: list[str], fn: str, name: str, base: str = SESSION_BASE, digits:
     return _with(base, _SCORES) + f'\nSELECT {k}, {agg} AS "{name}" FROM sc GROUP BY {k}'
 
 
+def weekly(rows: list[str], keys: list[str], agg: str, name: str, source: str, base: str) -> str:
+    """A grouping by weeks of their years. ``rows``: the expressions that lead to ``source``."""
+    k = ", ".join(f'"{c}"' for c in keys)
+    year = 'CAST(isoyear("Date") AS INTEGER)'
+    return _with(base, *rows) + f'\nSELECT {year} AS "Week_year", "Week", {k}, {agg} AS "{name}" FROM {source} GROUP BY {year}, "Week", {k}'
+
+
+def year_symptom(code: str, base: str) -> str:
+    return weekly([_days(code)], [C.PATIENT, E], f"SUM(CAST({C.FLAG} AS DOUBLE))", "Sum", "days", base)
+
+
+def year_score(base: str) -> str:
+    return weekly([_SCORES], [C.PATIENT], 'sum("Session_score")', "Sum_of_weekly_score", "sc", base)
+
+
+def year_movement(code: str, keys: list[str], base: str) -> str:
+    return weekly(_samples(code), keys, f"ROUND(stddev_samp(col), {STD_DIGITS})", "STD_value", "smp", base)
+
+
 def score_statistics() -> str:
     k = f'"Patient_id", "Date", "Week", {E}'
     stats = 'count("Session_score") AS "Scores", avg("Session_score") AS "Mean", sum("Session_score") AS "Sum"'
@@ -161,10 +193,10 @@ def sample_rows(code: str) -> str:
     return _with(SESSION_BASE, *_samples(code)) + f'\nSELECT "Patient_id", "Date", "Week", {E}, {T}, col FROM smp'
 
 
-def movement(code: str, keys: list[str], fn: str, name: str) -> str:
+def movement(code: str, keys: list[str], fn: str, name: str, base: str = SESSION_BASE, digits: int | None = None) -> str:
     k = ", ".join(f'"{c}"' if c not in (E, T) else c for c in keys)
-    agg = f"ROUND(stddev_samp(col), {STD_DIGITS})" if fn == "stddev_samp" else f"{fn}(col)"
-    return _with(SESSION_BASE, *_samples(code)) + f'\nSELECT {k}, {agg} AS "{name}" FROM smp GROUP BY {k}'
+    agg = f"ROUND(stddev_samp(col), {STD_DIGITS})" if fn == "stddev_samp" else f"ROUND({fn}(col), {digits})" if digits else f"{fn}(col)"
+    return _with(base, *_samples(code)) + f'\nSELECT {k}, {agg} AS "{name}" FROM smp GROUP BY {k}'
 
 
 def movement_statistics(code: str) -> str:
@@ -212,7 +244,14 @@ def segment(code: str, stat: str) -> str:
     return _with(SESSION_BASE, *_timed(code), *parts) + f"\nSELECT {_SEG_KEYS}, {cols} FROM {body}"
 
 
-def session_report() -> str:
+def segment_groups(code: str, stat: str, base: str) -> str:
+    """The same as one grouping, in which a key with a null part is one row."""
+    aggs = ", ".join(f'ROUND({_SEG_FN[stat]}(data_values) FILTER (sec BETWEEN {lo} AND {hi}), {STD_DIGITS}) AS "{lo}_{hi} {stat}"' for lo, hi in C.SEGMENTS)
+    first, last = C.SEGMENTS[0][0], C.SEGMENTS[-1][1]
+    return _with(base, *_timed(code)) + f"\nSELECT {_SEG_KEYS}, {aggs} FROM pt WHERE sec BETWEEN {first} AND {last} GROUP BY {_SEG_KEYS}"
+
+
+def session_report(base: str = SESSION_BASE, digits: int | None = None) -> str:
     k3 = f'"Patient_id", "Date", {E}'
     ctes = []
     for name, code in (("spd", C.SPEED_OF_MOVEMENT), ("rng", C.RANGE_OF_MOVEMENT)):
@@ -257,11 +296,10 @@ def session_report() -> str:
         f' FULL OUTER JOIN (SELECT {k3}, "Start_time", "Duration" FROM dur) USING ({k3}, "Start_time")'
         f' FULL OUTER JOIN (SELECT {k3}, "Total_reps" FROM rep) {u3}'
     )
-    cols = (
-        f'{k3}, "Start_time", "Min_speed", "Max_speed", "Mean_speed", "Min_range", "Max_range", '
-        f'"Mean_range", {", ".join(flag_names)}, "Session_score", "Duration", "Total_reps"'
-    )
-    return _with(SESSION_BASE, *ctes) + f"\nSELECT {cols} FROM {body}"
+    number = lambda c: f'ROUND(CAST("{c}" AS DOUBLE), {digits}) AS "{c}"' if digits else f'"{c}"'
+    measures = ", ".join(number(f"{stat}_{m}") for m in ("speed", "range") for stat in ("Min", "Max", "Mean"))
+    cols = f'{k3}, "Start_time", {measures}, {", ".join(flag_names)}, "Session_score", "Duration", "Total_reps"'
+    return _with(base, *ctes) + f"\nSELECT {cols} FROM {body}"
 
 
 def observation_rows() -> str:
@@ -291,3 +329,32 @@ SELECT 'Patient/' || c."Patient_id" AS {C.REFERENCE},
 FROM comp c
 CROSS JOIN (VALUES ('a'), ('b')) cat(t)
 CROSS JOIN LATERAL (SELECT '{C.SESSION}' AS code, c.{E} AS disp UNION ALL SELECT '0000', 'other') cd"""
+
+
+def shredded_sizes() -> str:
+    """Rows of each array's table: elements, not products of elements."""
+    return _with(SESSION_BASE) + """
+SELECT '' AS path, count(*) AS rows FROM sess
+UNION ALL SELECT 'entry', count(*) FROM sess
+UNION ALL SELECT 'entry_resource_category', 2 * count(*) FROM sess
+UNION ALL SELECT 'entry_resource_code_coding', 2 * count(*) FROM sess
+UNION ALL SELECT 'entry_resource_component', count(*) FROM comp
+UNION ALL SELECT 'entry_resource_component_code_coding', count(*) FROM comp
+UNION ALL SELECT 'entry_resource_component_valueSampledData_extension', count(*) FROM comp WHERE data IS NOT NULL"""
+
+
+def rejected_values(codes: list[str], base: str) -> str:
+    """Tokens that are no numbers, with their places, and times that are no dates."""
+    named = ", ".join(f"'{c}'" for c in codes)
+    keys = f'"Patient_id", {E}, {T}, code, dt'
+    told = f'"Patient_id", {E}, {T}, code AS {C.COMPONENT_CODE}, dt AS {C.EFFECTIVE}'
+    rows = (
+        f"mo AS (SELECT DISTINCT {keys}, data FROM comp WHERE code IN ({named}))",
+        f"tok AS (SELECT {keys}, unnest({_tokens('data')}) AS tk, generate_subscripts({_tokens('data')}, 1) - 1 AS place FROM mo)",
+    )
+    return _with(base, *rows) + f"""
+SELECT {told}, 'valueSampledData.data' AS field, CAST(place AS INTEGER) AS place, tk AS value,
+       CASE WHEN tk = '' THEN 'empty token' ELSE 'not a number' END AS reason
+FROM tok WHERE TRY_CAST(tk AS FLOAT) IS NULL
+UNION ALL
+SELECT {told}, 'effectiveDateTime', NULL, dt, 'not a date' FROM mo WHERE TRY_CAST(left(dt, 10) AS DATE) IS NULL"""

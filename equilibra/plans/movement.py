@@ -21,9 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equilibra import codes as C
-from equilibra.functions import parse_float, sample_tokens
-from equilibra.operators.moments import add_moments, grouped, max_of, mean_of, min_of, stddev_of
-from equilibra.operators.observations import observations
+from equilibra.functions import add_week_year, parse_float, sample_tokens, week_keys
+from equilibra.operators.moments import add_moments, cells, grouped, max_of, mean_of, merge_cells, min_of, statistics, stddev_of
+from equilibra.operators.observations import observations, select_component
+from equilibra.operators.rejects import REJECTS, reject_list
 
 FINGERPRINT = "_fp"
 MOMENTS = "_m"
@@ -37,11 +38,12 @@ def fingerprint(text: Column | str) -> Column:
     return F.unhex(F.sha2(F.col(text) if isinstance(text, str) else text, 256))
 
 
-def observation_moments(bundles: DataFrame, component_codes: list[str]) -> DataFrame:
+def observation_moments(bundles: DataFrame, component_codes: list[str], *, rejects: bool = False) -> DataFrame:
     """One row per distinct sampled observation of the given codes:
     component code, keys, effectiveDateTime, fingerprint, moments struct.
 
-    An observation without sample text has no samples and no row.
+    An observation without sample text has no samples and no row. With ``rejects``,
+    the values that turned null are in ``REJECTS`` (equal for equal texts).
     """
     obs = observations(bundles, component_codes).filter(F.col(C.SAMPLES).isNotNull())
     df = obs.select(
@@ -54,29 +56,54 @@ def observation_moments(bundles: DataFrame, component_codes: list[str]) -> DataF
         C.WEEK,
         fingerprint(C.SAMPLES).alias(FINGERPRINT),
         F.transform(sample_tokens(C.SAMPLES), parse_float).alias("_vals"),
+        *([reject_list().alias(REJECTS)] if rejects else []),
     )
     return add_moments(df, MOMENTS, F.col("_vals")).drop("_vals").distinct()
 
 
-def _stat(moments: DataFrame, keys: list[str], stat: Callable[[str], Column], name: str, sort: bool) -> DataFrame:
-    out = grouped(moments, keys, {"_a": MOMENTS}, std=stat is stddev_of).select(*keys, stat("_a").alias(name))
-    return out.orderBy(C.WEEK, *[k for k in keys if k != C.WEEK]) if sort else out
+#: Product -> code, keys, statistic, result column (fixed values).
+MOVEMENT_PRODUCTS = {
+    "range_mean": (C.RANGE_OF_MOVEMENT, DETAIL_KEYS, mean_of, "Range_of_movement"),
+    "range_std": (C.RANGE_OF_MOVEMENT, [C.WEEK, C.DISPLAY, C.TEXT], stddev_of, "STD_value"),  # across all patients
+    "range_min": (C.RANGE_OF_MOVEMENT, DETAIL_KEYS, min_of, "Min_value"),
+    "range_max": (C.RANGE_OF_MOVEMENT, DETAIL_KEYS, max_of, "Max_value"),
+    "speed_weekly_mean": (C.SPEED_OF_MOVEMENT, [C.PATIENT, C.WEEK, C.DISPLAY], mean_of, "Speed_of_movement"),  # all texts together
+    "speed_std": (C.SPEED_OF_MOVEMENT, [C.PATIENT, C.WEEK, C.DISPLAY, C.TEXT], stddev_of, "STD_value"),
+    "speed_min": (C.SPEED_OF_MOVEMENT, DETAIL_KEYS, min_of, "Min_value"),
+    "speed_max": (C.SPEED_OF_MOVEMENT, DETAIL_KEYS, max_of, "Max_value"),
+}
 
 
-def movement_mean(bundles: DataFrame, code: str, keys: list[str], name: str, *, sort: bool = True) -> DataFrame:
-    return _stat(observation_moments(bundles, [code]), keys, mean_of, name, sort)
+def _keys(keys: list[str], with_year: bool) -> list[str]:
+    return [x for k in keys for x in (week_keys(with_year) if k == C.WEEK else [k])]
 
 
-def movement_std(bundles: DataFrame, code: str, keys: list[str], *, sort: bool = True) -> DataFrame:
-    return _stat(observation_moments(bundles, [code]), keys, stddev_of, "STD_value", sort)
+def _result(groups: DataFrame, keys: list[str], stat: Callable[[str], Column], name: str, sort: bool, with_year: bool) -> DataFrame:
+    lead = week_keys(with_year)
+    out = groups.select(*keys, stat("_a").alias(name))
+    return out.orderBy(*lead, *[k for k in keys if k not in lead]) if sort else out
 
 
-def movement_min(bundles: DataFrame, code: str, keys: list[str], *, sort: bool = True) -> DataFrame:
-    return _stat(observation_moments(bundles, [code]), keys, min_of, "Min_value", sort)
+def movement_product(moments: DataFrame, product: str, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+    """One of the eight products of distinct observations with moments (of any codes).
+    ``with_year`` tells the weeks of years apart."""
+    code, keys, stat, name = MOVEMENT_PRODUCTS[product]
+    keys = _keys(keys, with_year)
+    mine = add_week_year(select_component(moments, code), with_year)
+    return _result(grouped(mine, keys, {"_a": MOMENTS}, std=stat is stddev_of), keys, stat, name, sort, with_year)
 
 
-def movement_max(bundles: DataFrame, code: str, keys: list[str], *, sort: bool = True) -> DataFrame:
-    return _stat(observation_moments(bundles, [code]), keys, max_of, "Max_value", sort)
+def movement_product_of_cells(state: DataFrame, product: str, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+    """The same from stored cells (``observation_cells``), of any number of states."""
+    code, keys, stat, name = MOVEMENT_PRODUCTS[product]
+    keys = _keys(keys, with_year)
+    mine = add_week_year(select_component(state, code), with_year)
+    return _result(statistics(merge_cells(mine, keys), keys, ["_a"]), keys, stat, name, sort, with_year)
+
+
+def observation_cells(moments: DataFrame) -> DataFrame:
+    """The mergeable state of distinct observations: cells per code, day, patient, exercise and text."""
+    return cells(moments, [C.COMPONENT_CODE, *DETAIL_KEYS], F.col(MOMENTS))
 
 
 def movement_statistics(bundles: DataFrame, code: str) -> DataFrame:
@@ -86,42 +113,18 @@ def movement_statistics(bundles: DataFrame, code: str) -> DataFrame:
     return merged.select(*DETAIL_KEYS, *[f("_a").alias(name) for name, f in stats.items()])
 
 
-# --- range of movement (404979006) ---------------------------------------------
-
-
-def range_mean(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return movement_mean(bundles, C.RANGE_OF_MOVEMENT, DETAIL_KEYS, "Range_of_movement", sort=sort)
+def _product(product: str) -> Callable[..., DataFrame]:
+    code = MOVEMENT_PRODUCTS[product][0]
 
+    def run(bundles: DataFrame, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+        return movement_product(observation_moments(bundles, [code]), product, sort=sort, with_year=with_year)
 
-def range_std(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    """Across all patients: (Week, exercise, text)."""
-    return movement_std(bundles, C.RANGE_OF_MOVEMENT, [C.WEEK, C.DISPLAY, C.TEXT], sort=sort)
+    run.__name__ = product
+    return run
 
 
-def range_min(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return movement_min(bundles, C.RANGE_OF_MOVEMENT, DETAIL_KEYS, sort=sort)
-
-
-def range_max(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return movement_max(bundles, C.RANGE_OF_MOVEMENT, DETAIL_KEYS, sort=sort)
-
+# --- range of movement (404979006) ---------------------------------------------
+range_mean, range_std, range_min, range_max = map(_product, ("range_mean", "range_std", "range_min", "range_max"))
 
 # --- speed of movement (282108002) ---------------------------------------------
-
-
-def speed_weekly_mean(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    """(Patient, Week, exercise), all texts together."""
-    keys = [C.PATIENT, C.WEEK, C.DISPLAY]
-    return movement_mean(bundles, C.SPEED_OF_MOVEMENT, keys, "Speed_of_movement", sort=sort)
-
-
-def speed_std(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return movement_std(bundles, C.SPEED_OF_MOVEMENT, [C.PATIENT, C.WEEK, C.DISPLAY, C.TEXT], sort=sort)
-
-
-def speed_min(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return movement_min(bundles, C.SPEED_OF_MOVEMENT, DETAIL_KEYS, sort=sort)
-
-
-def speed_max(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return movement_max(bundles, C.SPEED_OF_MOVEMENT, DETAIL_KEYS, sort=sort)
+speed_weekly_mean, speed_std, speed_min, speed_max = map(_product, ("speed_weekly_mean", "speed_std", "speed_min", "speed_max"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equilibra import codes as C
+from equilibra.functions import add_week_year, week_keys
 from equilibra.operators.observations import observations, select_component
 
 SCORE = "Session_score"
@@ -31,27 +32,40 @@ def session_scores(bundles: DataFrame) -> DataFrame:
     )
 
 
-def _product(scores: DataFrame, keys: list[str], agg, name: str, sort_key: str, sort: bool) -> DataFrame:
-    out = scores.groupBy(*keys).agg(agg(F.col(SCORE)).alias(name))
-    return out.orderBy(sort_key, *[k for k in keys if k != sort_key]) if sort else out
+#: Product -> keys, aggregate, result column, first column of the order (fixed values).
+SCORE_PRODUCTS = {
+    "score_session_mean": ((C.DATE, C.DISPLAY), F.mean, "Mean_for_session", C.DATE),
+    "score_weekly_mean": ((C.WEEK, C.DATE, C.PATIENT, C.DISPLAY), F.mean, "Mean_of_weekly_score", C.WEEK),
+    "score_session_sum": ((C.DATE, C.WEEK, C.PATIENT), F.sum, "Sum_of_session", C.DATE),
+    "score_weekly_sum": ((C.WEEK, C.PATIENT), F.sum, "Sum_of_weekly_score", C.WEEK),
+}
+
+
+def score_product(scores: DataFrame, product: str, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+    """One of the four aggregates of score rows; ``with_year`` tells the weeks of years apart."""
+    keys, agg, name, first = SCORE_PRODUCTS[product]
+    keys = [x for k in keys for x in (week_keys(with_year) if k == C.WEEK else [k])]
+    out = add_week_year(scores, with_year).groupBy(*keys).agg(agg(F.col(SCORE)).alias(name))
+    if not sort:
+        return out
+    lead = week_keys(with_year) if first == C.WEEK else [first]
+    return out.orderBy(*lead, *[k for k in keys if k not in lead])
 
 
 def score_session_mean(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return _product(session_scores(bundles), [C.DATE, C.DISPLAY], F.mean, "Mean_for_session", C.DATE, sort)
+    return score_product(session_scores(bundles), "score_session_mean", sort=sort)
 
 
-def score_weekly_mean(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    keys = [C.WEEK, C.DATE, C.PATIENT, C.DISPLAY]
-    return _product(session_scores(bundles), keys, F.mean, "Mean_of_weekly_score", C.WEEK, sort)
+def score_weekly_mean(bundles: DataFrame, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+    return score_product(session_scores(bundles), "score_weekly_mean", sort=sort, with_year=with_year)
 
 
 def score_session_sum(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    keys = [C.DATE, C.WEEK, C.PATIENT]
-    return _product(session_scores(bundles), keys, F.sum, "Sum_of_session", C.DATE, sort)
+    return score_product(session_scores(bundles), "score_session_sum", sort=sort)
 
 
-def score_weekly_sum(bundles: DataFrame, *, sort: bool = True) -> DataFrame:
-    return _product(session_scores(bundles), [C.WEEK, C.PATIENT], F.sum, "Sum_of_weekly_score", C.WEEK, sort)
+def score_weekly_sum(bundles: DataFrame, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+    return score_product(session_scores(bundles), "score_weekly_sum", sort=sort, with_year=with_year)
 
 
 def score_statistics(bundles: DataFrame) -> DataFrame:

@@ -18,41 +18,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equilibra import codes as C
-from equilibra.functions import flag_text
+from equilibra.functions import add_week_year, flag_text, week_keys
 from equilibra.operators.observations import observations, select_component
 
 
+DAY = (C.DATE, C.WEEK, C.PATIENT, C.DISPLAY, C.FLAG)
+
+
 def symptom_days(bundles: DataFrame, code: str) -> DataFrame:
-    return (
-        select_component(observations(bundles, [code]), code)
-        .select(C.DATE, C.WEEK, C.PATIENT, C.DISPLAY, C.FLAG)
-        .distinct()
-    )
-
-
-def symptom_weekly_sum(bundles: DataFrame, code: str, *, sort: bool = True) -> DataFrame:
-    """(Patient_id, Week, exercise) -> ``Sum`` of the day flags."""
-    out = (
-        symptom_days(bundles, code)
-        .groupBy(C.PATIENT, C.WEEK, C.DISPLAY)
-        .agg(F.sum(F.col(C.FLAG).cast("double")).alias("Sum"))
-    )
+    return select_component(observations(bundles, [code]), code).select(*DAY).distinct()
+
+
+def all_symptom_days(bundles: DataFrame) -> DataFrame:
+    """The symptom days of all four codes, with ``C.COMPONENT_CODE``: one scan, one DISTINCT."""
+    return observations(bundles, list(C.SYMPTOMS)).select(C.COMPONENT_CODE, *DAY).distinct()
+
+
+def weekly_sums(days: DataFrame, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+    """The weekly sums of symptom days."""
+    keys = [C.PATIENT, *week_keys(with_year), C.DISPLAY]
+    out = add_week_year(days, with_year).groupBy(*keys).agg(F.sum(F.col(C.FLAG).cast("double")).alias("Sum"))
     # Ordered by Week as defined; the other keys only break ties so that the
     # range partitioning of the sort can split a heavy week.
-    return out.orderBy(C.WEEK, C.PATIENT, C.DISPLAY) if sort else out
+    return out.orderBy(*week_keys(with_year), C.PATIENT, C.DISPLAY) if sort else out
+
+
+def reports(days: DataFrame, code: str) -> DataFrame:
+    """The Yes/No report of symptom days."""
+    return days.select(C.PATIENT, C.DATE, C.WEEK, C.DISPLAY, flag_text(C.FLAG).alias(C.SYMPTOMS[code]))
+
+
+def symptom_weekly_sum(bundles: DataFrame, code: str, *, sort: bool = True, with_year: bool = False) -> DataFrame:
+    """(Patient_id, Week, exercise) -> ``Sum`` of the day flags; ``with_year`` tells the weeks of years apart."""
+    return weekly_sums(symptom_days(bundles, code), sort=sort, with_year=with_year)
 
 
 def symptom_reported(bundles: DataFrame, code: str) -> DataFrame:
     """One row per symptom day: Yes for true, No for false or null."""
-    return symptom_days(bundles, code).select(
-        C.PATIENT, C.DATE, C.WEEK, C.DISPLAY, flag_text(C.FLAG).alias(C.SYMPTOMS[code])
-    )
+    return reports(symptom_days(bundles, code), code)
 
 
 def symptom_statistics(bundles: DataFrame) -> DataFrame:
     """The weekly sums of all four symptoms, one column each, from one scan and one
     DISTINCT; null where a symptom has no flag that week."""
     code = F.col(C.COMPONENT_CODE)
-    days = observations(bundles, list(C.SYMPTOMS)).select(C.DATE, C.WEEK, C.PATIENT, C.DISPLAY, C.COMPONENT_CODE, C.FLAG).distinct()
+    days = all_symptom_days(bundles)
     sums = [F.sum(F.when(code == c, F.col(C.FLAG).cast("double"))).alias(name) for c, name in C.SYMPTOMS.items()]
     return days.groupBy(C.PATIENT, C.WEEK, C.DISPLAY).agg(*sums)

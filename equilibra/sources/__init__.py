@@ -13,8 +13,10 @@ from equilibra.sources.bundles import (
     load_bundle,
     prune_schema,
 )
-from equilibra.sources.fixtures import event_bundle, session_bundle
-from equilibra.sources.publish import publish, publish_all, read_published
+from equilibra.sources.fixtures import event_bundle, hard_bundle, session_bundle
+from equilibra.sources.publish import publish, publish_all, publish_version, read_published, read_version
+from equilibra.sources.skipping import StaleIndex, build_index, matching_files, refresh_index, write_clustered
+from equilibra.sources.versions import Store, Write
 
 __all__ = [
     "BUNDLE_SCHEMA",
@@ -24,12 +26,22 @@ __all__ = [
     "REPORT_FIELDS",
     "SAMPLE_FIELDS",
     "SESSION_FIELDS",
+    "StaleIndex",
+    "Store",
     "TIMED_FIELDS",
+    "Write",
+    "build_index",
     "event_bundle",
+    "hard_bundle",
     "load_bundle",
+    "matching_files",
     "prune_schema",
     "publish",
     "publish_all",
+    "publish_version",
     "read_published",
+    "read_version",
+    "refresh_index",
     "session_bundle",
+    "write_clustered",
 ]

@@ -7,11 +7,14 @@ carries is allowed and ignored (nested column pruning keeps it out of the scan).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from equilibra.sources.schemas import merged
+
 _CODING = T.ArrayType(T.StructType([T.StructField("code", T.StringType())]))
 
 COMPONENT_TYPE = T.StructType(
@@ -123,6 +126,10 @@ def load_bundle(
     format: str | None = None,
     options: dict[str, str] | None = None,
     fields: tuple[str, ...] | list[str] | None = None,
+    index: str | None = None,
+    codes: Iterable[str] | None = None,
+    dates: tuple[str, str] | None = None,
+    patients: tuple[str, str] | None = None,
 ) -> DataFrame:
     """A catalog table by name, or files at a path in any Spark format.
 
@@ -135,12 +142,25 @@ def load_bundle(
     narrowed to those nested leaves. Spark prunes nested columns of a scan
     only down to the first array whose elements are read in more than one
     field, so without this every product would read every component's sample
-    text; with it a columnar source reads just the listed leaf columns.
+    text; with it a columnar source reads just the listed leaf columns. Paths that the
+    files lack, all or some of them, are read as typed nulls (``equilibra.sources.schemas``).
     By catalog name, the table's own files are read in this way, with its
     partition columns and read options. It raises with ``fields`` where the files
     or partitions under the table's location aren't those of the catalog, for a
     view, and for a table of another format than ``FILE_TABLES``.
+
+    ``index`` (of ``equilibra.sources.skipping``, for files at a path): only files that may
+    hold a session with one of the component ``codes``, in the closed ranges ``dates``
+    and ``patients``, are read. Other rows of those files are still there: products
+    filter by code themselves. Raises ``StaleIndex`` if the files have changed.
     """
+    if index is not None:
+        from equilibra.sources.skipping import matching_files
+
+        files = matching_files(spark, source, index, codes=codes, dates=dates, patients=patients)
+        return _indexed_files(spark, source, files, format or "parquet", options or {}, fields)
+    if codes is not None or dates is not None or patients is not None:
+        raise ValueError("codes, dates and patients need an index")
     if format is None and _is_table(spark, source):
         return spark.table(source) if not fields else _table_files(spark, source, fields)
     if fields and format == "delta":
@@ -149,11 +169,21 @@ def load_bundle(
     if options:
         reader = reader.options(**options)
     if fields:
-        full = reader.load(source).schema  # file metadata only
+        full = merged(reader.load(source).schema, BUNDLE_SCHEMA)  # file metadata only
         reader = reader.schema(prune_schema(full, fields))
     return reader.load(source)
 
 
+def _indexed_files(spark: SparkSession, source: str, files: list[str], format: str, options: dict[str, str], fields: tuple[str, ...] | list[str] | None) -> DataFrame:
+    """The files of ``source`` that an index names, with the schema of all of them."""
+    reader = spark.read.format(format).options(**options)
+    schema = reader.load(source).schema
+    schema = prune_schema(merged(schema, BUNDLE_SCHEMA), fields) if fields else schema
+    if not files:
+        return spark.createDataFrame([], schema)
+    return reader.option("basePath", source).schema(schema).load(files)
+
+
 #: Table formats that are plain files under one location.
 FILE_TABLES = ("parquet", "orc", "json")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -168,7 +198,7 @@ def _table_files(spark: SparkSession, name: str, fields: tuple[str, ...] | list[
     if provider not in FILE_TABLES or not location:
         raise ValueError(f"{name} isn't a table of files ({', '.join(FILE_TABLES)}): fields can't narrow it")
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    schema = prune_schema(spark.table(name).schema, [*fields, *parts])
+    schema = prune_schema(merged(spark.table(name).schema, BUNDLE_SCHEMA), [*fields, *parts])
     files = spark.read.format(provider).options(**_table_options(name, details)).schema(schema).load(location)
     if set(files.inputFiles()) != set(spark.table(name).inputFiles()):
         raise ValueError(f"{name}: the files under {location} aren't those of the catalog's partitions: fields can't narrow it")

@@ -78,9 +78,14 @@ def _bundle(subject: Column, effective: Column, display: Column, components: Col
     return F.array(F.struct(resource.alias("resource"))).cast(BUNDLE_SCHEMA["entry"].dataType)
 
 
-def _bracketed(items: Column, field: str) -> Column:
+def _bracketed(items: Column, field: str, first: Column | None = None, last: Column | None = None) -> Column:
+    none = F.lit("")
     return F.concat(
-        F.lit("[[["), F.concat_ws(" ", F.transform(items, lambda x: x[field].cast("string"))), F.lit("]]]")
+        F.lit("[[["),
+        none if first is None else first,
+        F.concat_ws(" ", F.transform(items, lambda x: x[field].cast("string"))),
+        none if last is None else last,
+        F.lit("]]]"),
     )
 
 
@@ -93,13 +98,53 @@ def session_bundle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     quantities of a return flag form a sampled signal ordered by
     ``(ms, quantity)`` with ``ms = (linenumber - 1) * step``.
     """
+    joined = _order_lines(orders, lineitem, F.col("l_quantity"))
+    key, at = F.col("o_orderkey"), _session_time()
+    return joined.select(
+        _bundle(
+            F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string")),
+            F.date_format(at, TIME_FORMAT),
+            F.col("o_orderpriority"),
+            F.filter(_session_components(key), lambda c: c.isNotNull()),
+        ).alias("entry")
+    )
+
+
+def hard_bundle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The sessions of ``session_bundle`` as a careless source would send them. By order key:
+
+    * samples aren't whole numbers (quantity x 0.37, three places); every 6th signal starts
+      with an empty token, every 4th ends with one that is no number;
+    * every 11th time is no date, of the others every 3rd ends in ``Z`` (no start time);
+    * every 2nd bundle holds its observation twice, every 13th bundle comes twice, every 5th
+      observation has its session coding twice, every 7th has each component's coding twice.
+
+    So without its DISTINCT every product that counts, adds or spreads comes out wrong.
+    """
+    joined = _order_lines(orders, lineitem, (F.col("l_quantity") * 0.37).cast("decimal(12,3)"))
+    key = F.col("o_orderkey")
+    every = lambda n: key % n == 0
+    time = F.date_format(_session_time(), "yyyy-MM-dd'T'HH:mm:ss")
+    effective = F.when(every(11), F.lit("not a date")).when(every(3), F.concat(time, F.lit("Z"))).otherwise(F.concat(time, F.lit("+00:00")))
+    components = _session_components(key, F.when(every(6), " ").otherwise(""), F.when(every(4), " n/a").otherwise(""))
+    components = F.filter(components, lambda c: c.isNotNull())
+    twice = F.transform(components, lambda c: c.withField("code.coding", F.concat(c["code"]["coding"], c["code"]["coding"])))
+    entry = _bundle(F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string")), effective, F.col("o_orderpriority"), F.when(every(7), twice).otherwise(components))
+    recoded = F.transform(entry, lambda e: e.withField("resource.code.coding", F.concat(e["resource"]["code"]["coding"], F.slice(e["resource"]["code"]["coding"], 1, 1))))
+    entry = F.when(every(5), recoded).otherwise(entry)
+    held = joined.select(key, entry.alias("entry")).select(F.when(every(2), F.concat("entry", "entry")).otherwise(F.col("entry")).alias("entry"), F.when(every(13), 2).otherwise(1).alias("times"))
+    return held.select("entry", F.explode(F.sequence(F.lit(1), "times"))).select("entry")
+
+
+def _order_lines(orders: DataFrame, lineitem: DataFrame, quantity: Column) -> DataFrame:
+    """Orders with their lines (flag, ms, qty) in an array, empty where there are none."""
     step = F.when(F.col("l_returnflag") == FAST_FLAG, F.lit(FAST_STEP_MS)).otherwise(F.lit(SLOW_STEP_MS))
     lines = lineitem.select(
         F.col("l_orderkey"),
         F.struct(
             F.col("l_returnflag").alias("flag"),
             ((F.col("l_linenumber") - 1) * step).alias("ms"),
-            F.col("l_quantity").alias("qty"),
+            quantity.alias("qty"),
         ).alias("line"),
     )
     per_order = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
@@ -107,9 +152,16 @@ def session_bundle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
     none = F.array().cast(per_order.schema["lines"].dataType)
-    joined = joined.withColumn("lines", F.coalesce("lines", none))
+    return joined.withColumn("lines", F.coalesce("lines", none))
 
-    key = F.col("o_orderkey")
+
+def _session_time() -> Column:
+    return F.timestamp_add("SECOND", (F.col("o_orderkey") * 37) % 86400, F.col("o_orderdate"))
+
+
+def _session_components(key: Column, first: Column | None = None, last: Column | None = None) -> Column:
+    """All components of an order's session, null where it has none of a kind. ``first`` and
+    ``last``: text inside the brackets of the samples, before and after them."""
 
     def sampled(flag: str, code: str) -> Column:
         picked = F.filter("lines", lambda x: x["flag"] == F.lit(flag))
@@ -118,12 +170,12 @@ def session_bundle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             _component(
                 code,
                 text=F.lit(flag),
-                data=_bracketed(picked, "qty"),
+                data=_bracketed(picked, "qty", first, last),
                 times=_bracketed(picked, "ms"),
             ),
         )
 
-    components = F.array(
+    return F.array(
         sampled(SPEED_FLAG, codes.SPEED_OF_MOVEMENT),
         *[sampled(f, codes.RANGE_OF_MOVEMENT) for f in RANGE_FLAGS],
         _component(codes.DISORIENTATION, flag=key % 2 == 0),
@@ -134,15 +186,6 @@ def session_bundle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         _component(codes.DURATION, quantity=F.lit(30) + key % 600),
         _component(codes.REPETITIONS, quantity=F.size("lines")),
     )
-    at = F.timestamp_add("SECOND", (key * 37) % 86400, F.col("o_orderdate"))
-    return joined.select(
-        _bundle(
-            F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string")),
-            F.date_format(at, TIME_FORMAT),
-            F.col("o_orderpriority"),
-            F.filter(components, lambda c: c.isNotNull()),
-        ).alias("entry")
-    )
 
 
 def event_bundle(events: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from equilibra.session import shared_dir
+from equilibra.sources.versions import Store, Write
 
 
 def _root(spark: SparkSession, root: str | None) -> str:
@@ -55,3 +56,29 @@ def publish_all(
 
 def read_published(spark: SparkSession, name: str, *, root: str | None = None, format: str = "parquet") -> DataFrame:
     return spark.read.format(format).load(f"{_root(spark, root)}/{name}")
+
+
+def publish_version(
+    df: DataFrame,
+    name: str,
+    *,
+    root: str | None = None,
+    by: str | Column | None = None,
+    parts: tuple[str, ...] | None = None,
+) -> int:
+    """Publish a new version of a table and return its number.
+
+    The old version is read until the new one is whole, and stays if the write fails
+    (``equilibra.sources.versions``); ``publish`` with ``overwrite`` deletes before it writes.
+    With ``by`` (such as ``Date``, or its month) only the parts that ``df`` has rows of, or
+    that ``parts`` names, are replaced, once the table exists; without, all of it.
+    """
+    store = Store(df.sparkSession, _root(df.sparkSession, root))
+    new = name not in store.names()
+    mode = "all" if by is None or new else "part"
+    return store.commit([Write(name, df, mode, by, parts or ())])
+
+
+def read_version(spark: SparkSession, name: str, *, root: str | None = None, version: int | None = None) -> DataFrame:
+    """A table as last published by ``publish_version``, or as of a version."""
+    return Store(spark, _root(spark, root)).read(name, version=version)
