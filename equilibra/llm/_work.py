@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,13 +82,55 @@ def in_words(df: DataFrame, h: Column, words: DataFrame, bits: int = 22) -> Data
     )
 
 
+#: Spark's names of stores, and pyarrow's (fixed values).
+SCHEMES = {"s3a://": "s3://", "s3n://": "s3://", "dbfs:/": "/dbfs/"}
+
+
 def files_of(uri: str):
-    """(file system, path in it) of a shared folder, for files that aren't tables."""
+    """(file system, path in it) of a shared folder, for files that aren't tables.
+
+    Folders on each machine (``file:``, a mounted ``dbfs:``), in S3 and in Google's store are reached
+    as they are; ``hdfs:`` and ``viewfs:`` need Hadoop's native library on the workers. Others raise.
+    """
+    import re
+
     from pyarrow import fs
 
+    for own, other in SCHEMES.items():
+        if uri.startswith(own):
+            uri = other + uri[len(own) :].lstrip("/")
+    uri = re.sub(r"^file:/+", "file:///", uri)
     return fs.FileSystem.from_uri(uri)
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` whole in a struct ``row``: helper columns beside it clash with none of
+    its names. ``select("row.*")`` unpacks them."""
+    return df.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row"))
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that at its end hands freed memory back to the system: Python
+    workers live on from stage to stage, and what one keeps the next must do without."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow
+
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def partition() -> int:
     from pyspark import TaskContext
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equilibra.llm._work import SPACE, bit_words, in_words, run_dir, saved
+from equilibra.llm._work import SPACE, bit_words, in_words, packed, run_dir, saved
 
 QUOTIENT_BITS = 20
 
@@ -168,16 +168,17 @@ def duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that repeat a text; the least doc_id stays. No text is shuffled
-    but those that may have copies."""
+    """``docs`` without the rows that repeat a text; the least doc_id stays, and of its rows
+    the one of the least text as written. No text is shuffled but those that may have copies."""
     base = run_dir(docs.sparkSession, "dedup")
     prints = saved(docs.select(F.xxhash64(normal("text")).alias("h")), f"{base}/prints")
     groups = byte_groups(docs, prints, base).select("h", "sha", "keep_id").withColumnsRenamed({"h": "__gh", "sha": "__sha", "keep_id": "__keep"})
-    marked = docs.withColumn("__norm", normal("text")).withColumn("__h", F.xxhash64("__norm"))
+    marked = packed(docs).withColumn("__norm", normal("row.text")).withColumn("__h", F.xxhash64("__norm"))
     marked = in_words(marked, F.col("__h"), bit_words(groups.select(F.col("__gh").alias("h"))))
-    sure = marked.filter(~F.col("__hit")).select(docs.columns)
+    sure = marked.filter(~F.col("__hit")).select("row")
     asked = marked.filter("__hit").withColumn("__s", F.sha2("__norm", 256)).drop("__norm", "__hit")
     asked = asked.join(groups, (F.col("__h") == F.col("__gh")) & (F.col("__s") == F.col("__sha")), "left")
-    alone = asked.filter("__gh is null").select(docs.columns)
-    kept = asked.filter("__gh is not null").filter(F.col("doc_id").eqNullSafe(F.col("__keep")))
-    return sure.unionByName(alone).unionByName(kept.dropDuplicates(["__gh", "__sha"]).select(docs.columns))
+    alone = asked.filter("__gh is null").select("row")
+    kept = asked.filter("__gh is not null").filter(F.col("row.doc_id").eqNullSafe(F.col("__keep")))
+    kept = kept.groupBy("__gh", "__sha").agg(F.min_by("row", F.struct("row.text", F.xxhash64("row"))).alias("row")).select("row")
+    return sure.unionByName(alone).unionByName(kept).select("row.*")

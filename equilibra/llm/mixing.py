@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from equilibra.llm._work import run_dir, saved
+from equilibra.llm._work import packed, run_dir, saved
 
 LEAF = ["__domain", "__lang", "__source"]
 
@@ -146,4 +146,5 @@ def choose(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
 
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with all their columns, as often as it takes them."""
-    return _taken(_leaves(docs, mix), mix).select(docs.columns)
+    rows = packed(docs).select("row", "row.doc_id", "row.text", "row.lang", "row.source")
+    return _taken(_leaves(rows, mix), mix).select("row.*")

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from equilibra.llm._work import SPACE, bit_words, in_words, run_dir, saved
+from equilibra.llm._work import SPACE, bit_words, in_words, packed, run_dir, saved, tidy
 from equilibra.llm.components import components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
@@ -80,6 +80,19 @@ class WordHashes(dict):
 HASHES = WordHashes()
 
 
+def forgetful(task):
+    """The task's function, after which the cache of word hashes is empty (named when it runs:
+    workers have a cache of their own)."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            HASHES.clear()
+
+    return run
+
+
 def shingles(text: str) -> np.ndarray:
     """Hashes of a text's word windows, one per place; a text of fewer words is one window."""
     words = text.encode().split()
@@ -161,8 +174,8 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
-def norm_text() -> Column:
-    return F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), SPACE, " "))
+def norm_text(text: str = "text") -> Column:
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SPACE, " "))
 
 
 def normal(docs: DataFrame) -> DataFrame:
@@ -196,7 +209,7 @@ def signatures(texts: DataFrame) -> DataFrame:
             if ids:
                 yield out(ids, nodes, sets, sizes)
 
-    return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "node", "norm").mapInArrow(sign, "doc_id long, node long, n long, bands array<long>")
+    return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "node", "norm").mapInArrow(tidy(forgetful(sign)), "doc_id long, node long, n long, bands array<long>")
 
 
 def candidate_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -211,7 +224,7 @@ def candidate_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
                 sets = [occurrences(shingles(t.as_py())).view(np.int64) for t in part.column("norm")]
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "n", "elements"])
 
-    return texts.mapInArrow(cut, "node long, n long, elements array<long>")
+    return texts.mapInArrow(tidy(forgetful(cut)), "node long, n long, elements array<long>")
 
 
 def pivot_pairs(members: DataFrame) -> DataFrame:
@@ -356,11 +369,11 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     marks = mine.groupBy("doc_id", "node", "stays").agg(F.count(F.lit(1)).alias("rows")).filter("not stays or rows > 1")
     marks = saved(marks.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"), F.col("stays").alias("__stays")), f"{folder}/marks")
     # Rows that the bit table rules out pass without a shuffle.
-    id_ = F.col("doc_id").cast("long")
-    marked = in_words(docs, F.xxhash64(id_), bit_words(marks.select(F.xxhash64("__id").alias("h"))))
-    asked = marked.filter("__hit").withColumn("__text", F.xxhash64(norm_text()))
+    id_ = F.col("row.doc_id").cast("long")
+    marked = in_words(packed(docs), F.xxhash64(id_), bit_words(marks.select(F.xxhash64("__id").alias("h"))))
+    asked = marked.filter("__hit").withColumn("__text", F.xxhash64(norm_text("row.text")))
     asked = asked.join(marks, id_.eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__node")), "left")
-    out = marked.filter(~F.col("__hit")).select(docs.columns).unionByName(asked.filter("__stays is null").select(docs.columns))
+    out = marked.filter(~F.col("__hit")).select("row").unionByName(asked.filter("__stays is null").select("row"))
     if not marks.filter("__stays").isEmpty():
-        out = out.unionByName(asked.filter("__stays").dropDuplicates(["__id", "__node"]).select(docs.columns))
-    return out
+        out = out.unionByName(asked.filter("__stays").dropDuplicates(["__id", "__node"]).select("row"))
+    return out.select("row.*")

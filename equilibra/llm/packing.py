@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equilibra.llm._tokens import encoded
-from equilibra.llm._work import cells, partition, run_dir, saved
+from equilibra.llm._work import cells, partition, run_dir, saved, tidy
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096) -> DataFrame:
         if rows:
             yield out()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(cut), PIECES)
 
 
 def _knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

@@ -123,8 +123,7 @@ WITH s AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHA
 SELECT doc_id, slot, ([{table}])[slot + 1] AS shard FROM s"""
 
 
-def _mixture_sql() -> str:
-    m = mixing.PRODUCTION
+def mixture_sql(m: mixing.Mix = mixing.PRODUCTION) -> str:
     pick = lambda c, pairs, other: f"CASE {c} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in pairs.items()) + f" ELSE {other} END" if pairs else str(other)
     domain = pick("source", {s: f"'{d}'" for d, names in m.domains.items() for s in names}, "'other'")
 
@@ -154,4 +153,4 @@ SELECT doc_id, domain, lang, source, unnest(range(k)) AS epoch FROM times WHERE
 
 def oracle_sql() -> dict[str, str]:
     """For the operators that SQL can express; tests hold the others against brute force."""
-    return {"op3_exact_dedup": _dedup_sql(), "op4_url_filter": _urls_sql(), "op5_mixing": _mixture_sql(), "op7_sharding": _shards_sql()}
+    return {"op3_exact_dedup": _dedup_sql(), "op4_url_filter": _urls_sql(), "op5_mixing": mixture_sql(), "op7_sharding": _shards_sql()}

@@ -18,7 +18,9 @@ that Spark commits, so files of lost tasks are never read.
 
 Defined cases: null html is the empty payload, which is a payload like others.
 Null page_ids rank below all; a payload only they have makes each a response.
-Rows that repeat the largest page_id of a payload are all responses. Null url:
+Rows that repeat the largest page_id of a payload are all responses, each with a record id
+of its own; revisits name one of them. An archive that ends inside a record raises; the payload
+digest may be missing, and header names count in any case. Null url:
 no target URI, and control characters of an url are percent-encoded in headers.
 A request or metadata record whose partner is missing makes a capture with a
 null response. Other columns are ignored.
@@ -61,9 +63,10 @@ def member(kind: str, record_id: str, block: bytes, **headers: str | None) -> by
     return gz.compress(head) + gz.compress(block) + gz.compress(b"\r\n\r\n") + gz.flush()
 
 
-def capture(page_id: int | None, url: str | None, payload: bytes, key: str, refers: int | None, revisit: bool) -> Iterator[bytes]:
+def capture(page_id: int | None, url: str | None, payload: bytes, key: str, refers: int | None, revisit: bool, named: bool) -> Iterator[bytes]:
+    """The records of one page. ``named``: this response is the one that revisits of its payload name."""
     uri = None if url is None else quote(url, safe="%/:?#[]@!$&'()*+,;=-._~ ")
-    name = page_key(page_id, key) if not revisit else f"<urn:uuid:{uuid.uuid4()}>"
+    name = page_key(page_id, key) if named else f"<urn:uuid:{uuid.uuid4()}>"
     sha1 = f"sha1:{digest(payload)}"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     yield member("request", f"<urn:uuid:{uuid.uuid4()}>", b"GET / HTTP/1.1\r\n\r\n", WARC_Concurrent_To=name, WARC_Target_URI=uri, Content_Type="application/http; msgtype=request")
@@ -86,6 +89,14 @@ def members(file, room: int = 1 << 20) -> Iterator[tuple[int, bytes, bytes]]:
             head, _, rest = bytes(whole).partition(b"\r\n\r\n")
             yield place, head, rest[:-4]
             place, whole, end = at, bytearray(), zlib.decompressobj(31)
+    if at > place:
+        raise ValueError(f"the archive ends inside the record at {place}")
+
+
+def headers(head: bytes) -> dict[str, str]:
+    """A record's named fields; their names count in any case."""
+    fields = (line.partition(":") for line in head.decode().split("\r\n")[1:])
+    return {k.strip().lower(): v.strip() for k, _, v in fields}
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
@@ -93,23 +104,39 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     payloads = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     payloads = payloads.withColumn("key", F.sha2("html", 256))
     ids = saved(payloads.select("page_id", "key"), f"{folder}/payloads")
-    many = ids.groupBy("key").agg(F.max("page_id").alias("refers"), F.count(F.lit(1)).alias("n")).filter("n > 1 and refers is not null").drop("n")
-    many = saved(many.withColumnRenamed("key", "rkey"), f"{folder}/repeated")
+    # Per payload and page_id first: how many rows the largest page_id has.
+    each = ids.groupBy("key", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    many = each.groupBy("key").agg(F.max("page_id").alias("refers"), F.sum("n").alias("n"), F.max_by(F.when(F.col("page_id").isNotNull(), F.col("n")), "page_id").alias("tops"))
+    many = saved(many.filter("n > 1 and refers is not null").select(F.col("key").alias("rkey"), "refers", "tops"), f"{folder}/repeated")
     marked = in_words(payloads, F.xxhash64("key"), bit_words(many.select(F.xxhash64("rkey").alias("h"))))
-    sure = marked.filter(~F.col("__hit")).select("page_id", "url", "html", "key", F.lit(None).cast("long").alias("refers"))
-    asked = marked.filter("__hit").join(many, F.col("key") == F.col("rkey"), "left").select("page_id", "url", "html", "key", "refers")
+    columns, plain = ["page_id", "url", "html", "key", "refers", "named"], F.lit(False).alias("named")
+    sure = marked.filter(~F.col("__hit")).select("page_id", "url", "html", "key", F.lit(None).cast("long").alias("refers"), plain)
+    asked = marked.filter("__hit").join(many, F.col("key") == F.col("rkey"), "left")
+    top = F.coalesce(F.col("page_id") == F.col("refers"), F.lit(False))
+    asked = asked.withColumn("named", top & (F.col("tops") == 1)).withColumn("again", top & (F.col("tops") > 1))
+    if many.filter("tops > 1").isEmpty():
+        asked = asked.select(columns)
+    else:
+        # Equal rows can't be told apart, so they travel as one with a count; of all rows of
+        # a payload's largest page_id, one is named.
+        equal = saved(asked.filter("again").groupBy("page_id", "url", "html", "key", "refers").agg(F.count(F.lit(1)).alias("times")), f"{folder}/equal")
+        first = equal.groupBy("key").agg(F.min(F.struct(F.col("url").isNull().alias("none"), "url")).alias("first")).select(F.col("key").alias("fkey"), "first.url")
+        first = first.withColumnRenamed("url", "furl")
+        spread = equal.join(first, (F.col("key") == F.col("fkey")), "left").withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+        spread = spread.withColumn("named", (F.col("k") == 1) & F.col("url").eqNullSafe(F.col("furl")))
+        asked = asked.filter("not again").select(columns).unionByName(spread.select(columns))
 
     def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         stream, name, n = None, "", 0
-        for page_id, url, html, key, refers in cells(batches, "page_id", "url", "html", "key", "refers"):
+        for page_id, url, html, key, refers, named in cells(batches, "page_id", "url", "html", "key", "refers", "named"):
             if stream is None:
                 fs, root = files_of(folder)
                 fs.create_dir(root, recursive=True)
                 name = f"{partition():05d}-{uuid.uuid4().hex}.warc.gz"
                 stream = fs.open_output_stream(f"{root}/{name}", compression=None)
-            for record in capture(page_id, url, html.encode(), key, refers, refers is not None and page_id != refers):
+            for record in capture(page_id, url, html.encode(), key, refers, refers is not None and page_id != refers, named):
                 stream.write(record)
             n += 1
         if stream:
@@ -132,16 +159,16 @@ def read_records(archives: DataFrame, folder: str) -> DataFrame:
             rows: list[dict] = []
             with fs.open_input_stream(f"{root}/{name}", compression=None) as file:
                 for at, head, block in members(file):
-                    lines = [x.partition(": ") for x in head.decode().split("\r\n")[1:]]
-                    h = {k: v for k, _, v in lines}
-                    row = {"kind": h["WARC-Type"], "record_id": h["WARC-Record-ID"], "concurrent_to": h.get("WARC-Concurrent-To"), "refers_to": h.get("WARC-Refers-To"), "uri": h.get("WARC-Target-URI"), "file": name, "at": at}
+                    h = headers(head)
+                    row = {"kind": h["warc-type"], "record_id": h["warc-record-id"], "concurrent_to": h.get("warc-concurrent-to"), "refers_to": h.get("warc-refers-to"), "uri": h.get("warc-target-uri"), "file": name, "at": at}
+                    told = h.get("warc-payload-digest", "")
                     if row["kind"] == "response":
                         payload = block.partition(b"\r\n\r\n")[2]
                         row |= {"payload_digest": digest(payload), "payload_bytes": len(payload)}
-                        if h["WARC-Payload-Digest"] != f"sha1:{row['payload_digest']}":
+                        if told.startswith("sha1:") and told != f"sha1:{row['payload_digest']}":
                             raise ValueError(f"{name}: damaged payload at {at}")
                     elif row["kind"] == "revisit":
-                        row["payload_digest"] = h["WARC-Payload-Digest"].removeprefix("sha1:")
+                        row["payload_digest"] = told.removeprefix("sha1:") or None
                     elif row["kind"] == "metadata" and block.startswith(b"page-id: "):
                         row["page_id"] = int(block[9:].split(b"\r\n")[0])
                     rows.append(row)
