@@ -6,7 +6,7 @@ slot). Shards take turns, each claiming the next slot of its permutation that
 is free, until the table is full: all hold the same number of slots, give or
 take one, and a shard that leaves moves hardly any slot of the others. The table
 has a fixed size, so it is broadcast, and a row's place is one look-up of its
-key's hash. No shuffle, no Python on the rows.
+key's hash, without shuffle or Python. Only writing shards moves rows.
 
 Defined cases: a null key is placed like the empty string. Equal keys share a
 shard; name further key columns (such as doc_id) to spread a hot key. Rows may
@@ -60,8 +60,12 @@ def assign_shards(df: DataFrame, keys: list[str], shards: list[str], size: int =
 
 
 def write_shards(df: DataFrame, keys: list[str], shards: list[str], path: str, size: int = 65_537) -> None:
-    """One folder per shard; tasks write their own files, so no shard goes through one task."""
-    assign_shards(df, keys, shards, size).write.partitionBy("shard").parquet(path)
+    """One folder per shard, in files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``:
+    rows meet by shard first, and adaptive execution (on by default, needed here) splits a
+    shard that is larger and joins what is smaller, so that no shard goes through one task
+    and the number of files follows the size of the data, not tasks times shards."""
+    placed = assign_shards(df, keys, shards, size)
+    placed.hint("rebalance", F.col("shard")).write.partitionBy("shard").parquet(path)
 
 
 def round_trip(df: DataFrame, keys: list[str], shards: list[str], size: int = 65_537) -> DataFrame:
