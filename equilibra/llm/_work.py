@@ -54,12 +54,18 @@ def numbered(df: DataFrame, path: str, name: str) -> DataFrame:
     return table.join(F.broadcast(before), part == F.col("__part")).withColumn(name, place).drop("__part", "__before")
 
 
+def bits_for(members: int, least: int = 22, most: int = 26) -> int:
+    """Bits that number the bits of a table of ``members``: about 16 bits a member, at most
+    2**26 bits (a million rows, some 40 MB broadcast); with more members more others pass."""
+    return max(least, min(most, (16 * members).bit_length()))
+
+
 def bit_words(hashes: DataFrame, bits: int = 22) -> DataFrame:
     """Set of 64-bit hashes (column ``h``) as at most 2**(bits-6) rows of 64 bits.
 
     A row of a hash sets the bit that the hash's ``bits`` upper bits number. The
-    table has a fixed greatest size whatever the input (22 bits: 65,536 rows,
-    about 2 MB), so it may be broadcast. It never misses a member; the more
+    table has a greatest size whatever the input (22 bits: 65,536 rows, about
+    2 MB), so it may be broadcast. It never misses a member; the more
     members, the more others pass, and the exact join behind it does the rest.
     """
     top = F.shiftrightunsigned("h", 64 - bits)

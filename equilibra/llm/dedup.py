@@ -3,15 +3,15 @@
 1. One pass over the texts writes a small table (doc_id, fingerprint, SHA-256)
    of the normalised texts. A fingerprint is 64 bits: the upper ``slice_bits``
    pick a slice, the next ones are the quotient, the rest the remainder.
-2. Every task builds a counting quotient filter per slice from its partition:
-   per used quotient a run of sorted remainders, with a count each, so what
-   repeats in a partition leaves it once. Slices meet by a shuffle; a task
-   merges sorted runs of one slice, adding counts. Nothing is lost: quotient
-   and remainder together are the fingerprint.
-3. Fingerprints with a count above one become a bit table of fixed size. Only
-   texts that it can't rule out are read as bytes again: they are grouped by
-   the whole normalised text (copies fold in each task before the shuffle), and
-   groups of two and more are the classes. Two texts with one fingerprint part
+2. Every task builds a counting quotient filter (``quotient.py``) per slice from its
+   partition, so what repeats in a partition leaves it once. Slices follow the number of
+   rows and meet by a shuffle; a task merges the filters of one slice, walking their
+   sorted remainders and adding counts. Nothing is lost: slice, quotient and remainder
+   together are the fingerprint.
+3. Fingerprints with a count above one become a bit table, sized by their number up to
+   a fixed most. Only texts that it can't rule out are read as bytes again: they are
+   grouped by the whole normalised text (copies fold in each task before the shuffle),
+   and groups of two and more are the classes. Two texts with one fingerprint part
    here; a text that only shares a bit comes out alone.
 
 A group of copies may hold a third of all rows: the filters and the byte
@@ -34,54 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equilibra.llm._work import SPACE, bit_words, in_words, packed, run_dir, saved
+from equilibra.llm._work import SPACE, bit_words, bits_for, in_words, packed, run_dir, saved
+from equilibra.llm.quotient import QuotientFilter
 
-QUOTIENT_BITS = 20
-
-
-class QuotientFilter:
-    """Counting quotient filter over one slice, in numpy arrays.
-
-    ``quotients``: the used quotients ascending; ``ends``: where each one's run
-    ends; ``remainders``: the runs, each sorted; ``counts``: one per remainder.
-    """
-
-    def __init__(self, quotients, ends, remainders, counts):
-        self.quotients, self.ends, self.remainders, self.counts = quotients, ends, remainders, counts
-
-    @classmethod
-    def build(cls, prints: np.ndarray, counts: np.ndarray | None = None, remainder_bits: int = 64 - QUOTIENT_BITS) -> QuotientFilter:
-        """prints: unsigned 64-bit; counts: how often each (1 if not given)."""
-        shift, mask = np.uint64(remainder_bits), np.uint64((1 << remainder_bits) - 1)
-        order = np.argsort(prints, kind="stable")
-        prints = prints[order]
-        first = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]]) if len(prints) else np.zeros(0, np.int64)
-        total = np.add.reduceat(np.ones(len(prints), np.int64) if counts is None else counts[order], first) if len(prints) else np.zeros(0, np.int64)
-        prints = prints[first]
-        quotients, starts = np.unique((prints >> shift).astype(np.uint32), return_index=True)
-        return cls(quotients, np.r_[starts[1:], len(prints)].astype(np.uint32) if len(prints) else np.zeros(0, np.uint32), prints & mask, total.astype(np.int64))
-
-    def prints(self, remainder_bits: int = 64 - QUOTIENT_BITS) -> np.ndarray:
-        """The fingerprints again, ascending."""
-        runs = np.diff(self.ends.astype(np.int64), prepend=0)
-        return (np.repeat(self.quotients.astype(np.uint64), runs) << np.uint64(remainder_bits)) | self.remainders
-
-    def merge(self, other: QuotientFilter) -> QuotientFilter:
-        """Lossless: counts of equal fingerprints add up."""
-        return QuotientFilter.build(np.concatenate([self.prints(), other.prints()]), np.concatenate([self.counts, other.counts]))
-
-    def dump(self) -> bytes:
-        head = np.array([len(self.quotients), len(self.remainders)], np.int64)
-        return b"".join(x.tobytes() for x in (head, self.quotients, self.ends, self.remainders, self.counts))
-
-    @classmethod
-    def load(cls, data: bytes) -> QuotientFilter:
-        q, n = np.frombuffer(data, np.int64, 2)
-        at, parts = 16, []
-        for kind, k in ((np.uint32, q), (np.uint32, q), (np.uint64, n), (np.int64, n)):
-            parts.append(np.frombuffer(data, kind, k, at))
-            at += parts[-1].nbytes
-        return cls(*parts)
+#: Rows that a slice of the fingerprints holds on average, and the most bits that pick one.
+SLICE_ROWS, MOST_SLICE_BITS = 2_000_000, 24
 
 
 def filters(prints: DataFrame, slice_bits: int, room: int = 1_000_000) -> DataFrame:
@@ -94,11 +51,10 @@ def filters(prints: DataFrame, slice_bits: int, room: int = 1_000_000) -> DataFr
         held: list[np.ndarray] = []
 
         def out():
-            whole = QuotientFilter.build(np.concatenate(held))
-            p, top = whole.prints(), np.uint64(64 - slice_bits)
-            slices, starts = np.unique(p >> top, return_index=True)
+            p = np.sort(np.concatenate(held))
+            slices, starts = np.unique(p >> np.uint64(64 - slice_bits), return_index=True)
             ends = [*starts[1:], len(p)]
-            dumps = [QuotientFilter.build(p[a:b], whole.counts[a:b]).dump() for a, b in zip(starts, ends, strict=True)]
+            dumps = [QuotientFilter.build(p[a:b], slice_bits=slice_bits).dump() for a, b in zip(starts, ends, strict=True)]
             held.clear()
             return pa.record_batch([pa.array(slices.astype(np.int32)), pa.array(dumps, pa.binary())], names=["slice", "cqf"])
 
@@ -120,13 +76,14 @@ def repeated(cqfs: DataFrame) -> DataFrame:
         for batch in batches:
             for data in batch.column("cqf"):
                 whole.append(QuotientFilter.load(data.as_py()))
-                while len(whole) > 1 and len(whole[-1].counts) >= len(whole[-2].counts):
+                while len(whole) > 1 and len(whole[-1].slots) >= len(whole[-2].slots):
                     whole.append(whole.pop().merge(whole.pop()))
         while len(whole) > 1:
             whole.append(whole.pop().merge(whole.pop()))
         for cqf in whole:
-            many = cqf.counts > 1
-            yield pa.record_batch([pa.array(cqf.prints()[many].view(np.int64)), pa.array(cqf.counts[many])], names=["h", "n"])
+            prints, counts = cqf.items()
+            many = counts > 1
+            yield pa.record_batch([pa.array(prints[many].view(np.int64)), pa.array(counts[many])], names=["h", "n"])
 
     return cqfs.groupBy("slice").applyInArrow(merge, "h long, n long")
 
@@ -135,16 +92,17 @@ def normal(text: str):
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE, " ")
 
 
-def _slice_bits(df: DataFrame) -> int:
-    """Slices: some per shuffle partition."""
-    return max(4, min(16, (4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
+def slice_bits_for(rows: int) -> int:
+    """Bits that pick a slice: as many slices as the rows need, so that a task's memory stays alike."""
+    return max(4, min(MOST_SLICE_BITS, (max(1, rows) // SLICE_ROWS).bit_length()))
 
 
 def byte_groups(docs: DataFrame, prints: DataFrame, base: str) -> DataFrame:
     """(h, sha, keep_id, size) of each group of two and more equal texts."""
-    dup = saved(repeated(filters(prints, _slice_bits(docs))), f"{base}/repeated")
+    dup = saved(repeated(filters(prints, slice_bits_for(prints.count()))), f"{base}/repeated")
     texts = docs.select("doc_id", normal("text").alias("norm")).withColumn("h", F.xxhash64("norm"))
-    routed = in_words(texts, F.col("h"), bit_words(dup.select("h"))).filter("__hit")
+    bits = bits_for(dup.count())
+    routed = in_words(texts, F.col("h"), bit_words(dup.select("h"), bits), bits).filter("__hit")
     groups = routed.groupBy("h", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     return saved(groups.select("h", F.sha2("norm", 256).alias("sha"), "keep_id", "size"), f"{base}/groups")
 
@@ -174,7 +132,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     prints = saved(docs.select(F.xxhash64(normal("text")).alias("h")), f"{base}/prints")
     groups = byte_groups(docs, prints, base).select("h", "sha", "keep_id").withColumnsRenamed({"h": "__gh", "sha": "__sha", "keep_id": "__keep"})
     marked = packed(docs).withColumn("__norm", normal("row.text")).withColumn("__h", F.xxhash64("__norm"))
-    marked = in_words(marked, F.col("__h"), bit_words(groups.select(F.col("__gh").alias("h"))))
+    bits = bits_for(groups.count())
+    marked = in_words(marked, F.col("__h"), bit_words(groups.select(F.col("__gh").alias("h")), bits), bits)
     sure = marked.filter(~F.col("__hit")).select("row")
     asked = marked.filter("__hit").withColumn("__s", F.sha2("__norm", 256)).drop("__norm", "__hit")
     asked = asked.join(groups, (F.col("__h") == F.col("__gh")) & (F.col("__s") == F.col("__sha")), "left")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from equilibra.llm import _text, classifier, dedup, mixing, neardup, packing, quality, seekable, sharding, urls, warc
 from equilibra.llm._tokens import Encoder
 from equilibra.llm.queries import queries, tokenizer
+from equilibra.llm.quotient import QuotientFilter
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, node int, kept string"
@@ -106,11 +107,21 @@ def test_added_tokens_are_one_id(spark):
 
 def test_filter_merges_losslessly():
     rng = np.random.default_rng(1)
-    prints = rng.choice(rng.integers(0, 2**63, 400).astype(np.uint64), 3000)
-    whole = dedup.QuotientFilter.build(prints[:1000])
-    for part in (prints[1000:1001], prints[1001:]):
-        whole = whole.merge(dedup.QuotientFilter.load(dedup.QuotientFilter.build(part).dump()))
-    assert dict(zip(whole.prints().tolist(), whole.counts.tolist(), strict=True)) == Counter(prints.tolist())
+    for slice_bits, low in ((0, 1), (4, 3 << 60), (24, (7 << 40) + 5)):
+        span = 2**60 if slice_bits < 24 else 2**40
+        pool = np.r_[rng.integers(0, span, 400), np.arange(40)].astype(np.uint64) + np.uint64(low)
+        prints = np.r_[rng.choice(pool, 3000), np.repeat(pool[:1], 70_000)]
+        make = lambda x: QuotientFilter.load(QuotientFilter.build(x, slice_bits=slice_bits).dump())
+        whole = make(prints[:1000])
+        for part in (prints[1000:1001], prints[:0], prints[1001:], np.sort(prints[5:9])):
+            whole = whole.merge(make(part))
+        want = Counter([*prints.tolist(), *prints[5:9].tolist()])
+        assert dict(zip(*(x.tolist() for x in whole.items()), strict=True)) == want
+        assert list(want) and all(whole.count(p) == n for p, n in list(want.items())[:50]) and whole.count(low + span + 9) == 0
+    large = QuotientFilter.build(np.array([5, 6, 5], np.uint64), np.array([2**61, 1, 3]), 24)
+    assert {p: n for p, n in zip(*(x.tolist() for x in large.items()), strict=True)} == {5: 2**61 + 3, 6: 1} and large.count(5) == 2**61 + 3
+    many = rng.integers(0, 2**60, 100_000).astype(np.uint64)
+    assert len(QuotientFilter.build(many, slice_bits=4).dump()) < 10 * len(many)  # a fingerprint and its count take 16
 
 
 def test_exact_dedup_edges(edge, none):
