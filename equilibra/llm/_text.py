@@ -6,6 +6,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 #: The symbols that count as such, and ASCII white space.
 SYMBOLS, BLANKS, DIGITS = "#*$%&|<>", " \t\n\x0b\x0c\r", "0123456789"
@@ -63,12 +64,17 @@ def base(text: str, words: list[bytes]) -> dict[str, int]:
     }
 
 
-LINE_FEATURES = ("bias", "length", "short", "symbols", "marks", "upper", "digits", "bars", "stop", "repeats", "variety", "word_length", "notice")
+LINE_FEATURES = ("bias", "length", "short", "symbols", "marks", "upper", "digits", "bars", "stop", "repeats", "variety", "word_length", "notice", "common")
 NOTICES = ("licen", "copyright", "rights reserved", "cookie", "subscribe", "click here", "javascript")
 
 
-def lines(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(features, words) of the lines with a word, in order."""
+def line_key(line: str) -> int:
+    """A line's 64-bit hash, without blanks around it."""
+    return xxhash.xxh64_intdigest(line.strip(BLANKS).encode()) - 2**63
+
+
+def lines(text: str, common: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+    """(features, words) of the lines with a word, in order; ``common``: keys of lines that many documents share."""
     kept = [x for x in text.split("\n") if x.strip(BLANKS)]
     times = Counter(kept)
     rows, counts = [], []
@@ -89,6 +95,7 @@ def lines(text: str) -> tuple[np.ndarray, np.ndarray]:
             len(set(words)) / n,
             min(3.0, chars / n / 8),
             any(w in lower for w in NOTICES),
+            bool(common) and line_key(x) in common,
         ))
         counts.append(n)
     return np.array(rows, float).reshape(-1, len(LINE_FEATURES)), np.array(counts, np.int64)

@@ -278,16 +278,16 @@ def test_shards_hold_every_row_once(spark, docs, edge, none):
 
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(4)
-    field = quality.Field(rng.normal(size=13), rng.normal(size=(2, 2)))
-    x = rng.normal(size=(7, 13))
+    field = quality.Field(rng.normal(size=len(_text.LINE_FEATURES)), rng.normal(size=(2, 2)))
+    x = rng.normal(size=(7, len(_text.LINE_FEATURES)))
     score = lambda y: sum(x[k] @ field.lines for k in range(7) if y[k]) + sum(field.pairs[a, b] for a, b in zip(y, y[1:], strict=False))
     assert tuple(field.viterbi(x)) == max(product((0, 1), repeat=7), key=score)
 
 
-def test_repeated_words():
+def test_repeated_words(monkeypatch):
     rng = np.random.default_rng(5)
     for many in (0, 10**9):
-        _text.MANY = many
+        monkeypatch.setattr(_text, "MANY", many)
         for _ in range(50):
             words = [b"%d" % k for k in rng.integers(0, 3, rng.integers(0, 40))]
             seen = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
