@@ -62,3 +62,13 @@ def test_names_that_clash(spark, tmp_path):
     df = spark.createDataFrame([((1,), 2)], "a struct<b: int>, a_b int")
     with pytest.raises(ValueError, match="twice"):
         shred(df, str(tmp_path / "a"))
+
+
+def test_tables_are_not_broadcast(spark, tmp_path):
+    """Tables grow with the elements, so the driver holds none of them, however small it looks."""
+    tables = write_shredded(shred(entry.session_bundles(spark, SF_SMALL), f"{tmp_path}/numbered"), f"{tmp_path}/tables")
+    plans = []
+    for frame in (flat(tables), entry.session_bundles(spark, SF_SMALL), entry.hard_bundles(spark, SF_SMALL)):
+        frame.collect()
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+    assert not any("Broadcast" in p for p in plans)
