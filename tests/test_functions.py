@@ -1,6 +1,7 @@
 """Scalar functions on hand-made values (edge cases of the definitions)."""
 
 import datetime as dt
+import itertools
 
 from pyspark.sql import functions as F
 
@@ -54,3 +55,15 @@ def test_flag_text(spark):
     assert _one(spark, flag_text, True, "b boolean") == "Yes"
     assert _one(spark, flag_text, False, "b boolean") == "No"
     assert _one(spark, flag_text, None, "b boolean") == "No"
+
+
+def test_hopeless_tokens_are_not_cast(spark):
+    """Whatever the cast reads passes the pattern; words and empty tokens don't reach the cast."""
+    from equilibra.functions.columns import MAYBE_FLOAT
+
+    pieces = ["", "1", ".", "e", "-", "+", "n", "nan", "NaN", "inf", "Infinity", "f", "0x", "p", " ", "\t", "\n", "n/a", "İ", "٣"]
+    tokens = ["".join(x) for x in itertools.product(pieces, repeat=3)]
+    df = spark.createDataFrame([(t,) for t in [*tokens, None]], "t string")
+    cast, parsed = F.col("t").try_cast("float"), parse_float("t")
+    assert df.filter(cast.isNotNull()).count() > 100 and df.filter(~cast.eqNullSafe(parsed)).count() == 0
+    assert df.filter(F.col("t").isin("", "n/a", "-") & F.col("t").rlike(MAYBE_FLOAT)).count() == 0

@@ -69,3 +69,29 @@ def test_report_joins(spark, small_bundles):
     assert len(re.findall(r"Join \w+", tree)) <= 7
     scans = re.findall(r"ReadSchema: (struct<.*)", text)
     assert len([x for x in scans if "valueSampledData" in x]) <= 1 or len(set(x for x in scans if "valueSampledData" in x)) == 1
+
+
+def test_built_bundles_are_built_once(spark):
+    """No filter below the unnesting builds the bundle again to look at its size."""
+    import __spark_entry__ as entry
+    from equilibra.operators import observations
+
+    for bundles in (entry.session_bundles(spark, "/root/testdata/sf0.001"), entry.hard_bundles(spark, "/root/testdata/sf0.001")):
+        plan = observations(bundles, [C.DIZZINESS])._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("Filter" in line and "size(" in line for line in plan.split("\n"))
+
+
+def test_empty_arrays_give_no_observation(spark):
+    """Empty and null arrays at each level give no row, and rows beside them stay."""
+    from equilibra.operators import observations
+    from tests.bundles import bundles, component, observation
+
+    uncoded = {**component(C.DIZZINESS, flag=True), "code": {"coding": [], "text": None}}
+    null_code = {**component(C.DIZZINESS, flag=True), "code": {"coding": None, "text": None}}
+    when = "2021-03-01T10:00:00+00:00"
+    good = observation("p", when, "ex", [uncoded, null_code, component(C.DIZZINESS, flag=True)])
+    none = [observation("q", when, "ex", []), observation("q", when, "ex", None)]
+    bare = observation("q", when, "ex", [component(C.DIZZINESS, flag=True)])
+    bare["resource"]["code"] = {"coding": []}
+    got = observations(bundles(spark, [], none, [bare, good]), [C.DIZZINESS]).collect()
+    assert [r[C.PATIENT] for r in got] == ["p"]
