@@ -95,3 +95,20 @@ def test_empty_arrays_give_no_observation(spark):
     bare["resource"]["code"] = {"coding": []}
     got = observations(bundles(spark, [], none, [bare, good]), [C.DIZZINESS]).collect()
     assert [r[C.PATIENT] for r in got] == ["p"]
+
+
+def test_keys_of_sides_are_gathered_once(spark):
+    """Users of different columns of the sides' keys, and of none, share one exchange."""
+    from pyspark.sql import functions as F
+
+    from equilibra.plans.session_report import _presence
+
+    a, b = spark.range(0, 60).select(F.col("id").alias("k")), spark.range(40, 100).select(F.col("id").alias("k"))
+    met = _presence(["k"], _a=a, _b=b)
+    assert sorted(map(tuple, met.collect())) == [(k, k < 60, k >= 40) for k in range(100)]
+    users = met.select("k").unionAll(met.filter(~F.col("_a")).select("k")).unionAll(met.filter(~F.col("_b")).select("k"))
+    assert users.count() == 180
+    frame = users.select(F.col("k") + 0)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 2
