@@ -78,6 +78,37 @@ def test_compacting_changes_no_product(spark, state):
     assert set(parts.values()) == {1}
 
 
+def test_days_and_scores_share_a_scan(spark, small_bundles):
+    from equilibra.plans.refresh import DAYS, SCORES, _days_and_scores
+    from equilibra.plans.scores import session_scores
+    from equilibra.plans.symptoms import all_symptom_days
+
+    bundles = spark.read.parquet(small_bundles)
+    facts = _days_and_scores(bundles)
+    assert facts._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    days, scores = all_symptom_days(bundles), session_scores(bundles)
+    got = facts.filter(F.col(DAYS).isNotNull()).select(*[f"{DAYS}.{c}" if c == C.FLAG else c for c in days.columns])
+    assert rows(got) == rows(days)
+    got = facts.filter(F.col(SCORES).isNotNull()).select(*[f"{SCORES}.{c}" if c in ("Session_score", C.START) else c for c in scores.columns])
+    assert rows(got) == rows(scores)
+
+
+def test_unseen_rows_meet_by_a_hash(spark, tmp_path):
+    """Nulls and NaN are equal to themselves; the join sorts by a hash and one struct."""
+    from equilibra.plans.refresh import _unseen
+    from equilibra.sources.versions import Store, Write
+
+    store, schema = Store(spark, str(tmp_path)), f"{C.DATE} date, a string, b double"
+    values = [(None, None, None), (None, "x", None), (None, None, float("nan")), (None, "x", 0.0)]
+    part = F.date_format(C.DATE, "yyyy")
+    store.commit([Write("t", spark.createDataFrame(values[:3], schema), "add", part)])
+    new = spark.createDataFrame([*values, (None, "y", None)], schema)
+    met = _unseen(store, "t", new.hint("merge"), new.columns, True, "yyyy")
+    assert rows(met) == rows(spark.createDataFrame([values[3], (None, "y", None)], schema))
+    join = next(x for x in met._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in x)
+    assert join.split("], [")[0].count("xxhash64") == 1 and "coalesce" not in join
+
+
 def test_what_isn_t_kept(spark, state):
     with pytest.raises(ValueError, match="isn't kept"):
         stored_product(spark, "session_report", state[0])
