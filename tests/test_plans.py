@@ -112,3 +112,12 @@ def test_keys_of_sides_are_gathered_once(spark):
     frame.collect()
     plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange") == 2
+
+
+def test_segments_moments_share_projections(spark, small_bundles):
+    """The four segments' moments are made side by side, not in a chain of projections each."""
+    from equilibra.plans.segments import segment_moments
+
+    plan = segment_moments(load_bundle(spark, small_bundles), C.RANGE_OF_MOVEMENT)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("_m0_v" in line and "Project" in line for line in plan.split("\n")) <= 3
+    assert sum("Project" in line for line in plan.split("\n") if "_m" in line) <= 4
