@@ -7,9 +7,12 @@ from equilibra.functions.columns import (
     flag_text,
     iso_week,
     iso_year,
+    odd_tokens,
     parse_float,
     patient_id,
+    sample_floats,
     sample_tokens,
+    sample_values,
     session_date,
     start_time,
     week_keys,
@@ -21,9 +24,12 @@ __all__ = [
     "flag_text",
     "iso_week",
     "iso_year",
+    "odd_tokens",
     "parse_float",
     "patient_id",
+    "sample_floats",
     "sample_tokens",
+    "sample_values",
     "session_date",
     "start_time",
     "week_keys",
