@@ -121,3 +121,37 @@ def test_segments_moments_share_projections(spark, small_bundles):
     plan = segment_moments(load_bundle(spark, small_bundles), C.RANGE_OF_MOVEMENT)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("_m0_v" in line and "Project" in line for line in plan.split("\n")) <= 3
     assert sum("Project" in line for line in plan.split("\n") if "_m" in line) <= 4
+
+
+def test_report_shuffles_few_rows(spark, small_bundles):
+    """Sides meet in one exchange per key and two joins: the rows shuffled stay below 30 per session (35 with a join per side)."""
+    from tests.test_shred import shuffled
+
+    bundles = load_bundle(spark, small_bundles)
+    df = PRODUCTS["session_report"](bundles)
+    df.collect()
+    moved = shuffled(df._jdf.queryExecution().executedPlan())
+    assert 0 < sum(moved) < 30 * bundles.count()
+
+
+def test_report_sides_that_others_lack(spark):
+    """Keys that only some sides have, lone durations, no start times and null key parts, against the literal joins."""
+    from collections import Counter
+
+    from tests import literal
+    from tests.bundles import bundles, component, observation
+
+    flag, score, duration = component(C.DIZZINESS, flag=True), component(C.SESSION_SCORE, qty=3.0), component(C.DURATION, qty=40.0)
+    reps, move = component(C.REPETITIONS, qty=7.0), component(C.SPEED_OF_MOVEMENT, text="N", data="[[[1 2.5 x]]]")
+    long = component(C.RANGE_OF_MOVEMENT, text="A", data="[[[" + " ".join(map(str, range(40))) + "]]]")
+    sides = [[move], [reps], [duration], [score], [flag], [flag, duration, reps], [move, long, duration], [score, duration, duration, reps, flag, long], [score, reps], [duration, reps]]
+    entries = []
+    for k, held in enumerate(sides):
+        for at in ("2021-03-01T10:00:00+00:00", "2021-03-01T10:00:00Z", "not a date", None):
+            entries.append(observation(f"p{k}", at, "ex", held))
+        entries.append(observation(f"p{k}", "2021-03-01T11:00:00+00:00", "ex", [component(C.DURATION, qty=None), component(C.DIZZINESS, flag=None)]))
+    entries += [observation("p7", "2021-03-01T12:00:00+00:00", None, sides[7]), observation("p7", "2021-03-01T10:00:00+00:00", "ex", [component(C.SESSION_SCORE, qty=4.0)])]
+    made = bundles(spark, entries[:20], entries[20:], entries[:7])
+    got, want = PRODUCTS["session_report"](made), literal.report(literal.flat(made))
+    count = lambda df: Counter(repr(tuple(r)) for r in df.select(*[f"`{c}`" for c in want.columns]).collect())
+    assert count(got) == count(want)
